@@ -17,12 +17,12 @@ _DIGIT_MASK = 2**_DIGIT_BITS - 1
 _EXPAND_STEP = 100_000
 
 
-def _count_before(window_columns: list[str], order: list[str], n: str) -> Column:
-    in_order = Window.partitionBy(*window_columns).orderBy(
+def _sum_before(n: str, within: list[str], order: list[str]) -> Column:
+    in_order = Window.partitionBy(*within).orderBy(
         *[F.col(c).asc_nulls_last() for c in order]
     )
-    preceding = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(n).over(preceding), F.lit(0).cast("bigint"))
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(n).over(so_far) - F.col(n)
 
 
 def running_counts(
@@ -32,50 +32,48 @@ def running_counts(
     within: tuple[str, ...] = (),
     ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Add ``before``: total of ``n`` over the rows ordered ahead of each row.
+    """Add ``before``, the sum of ``n`` over all rows ordered ahead, and ``total``.
 
     Rows are ordered by the bigint ``value`` (NULL last), then by ``ties``,
     separately for each ``within`` group. ``value`` and ``ties`` together are
     unique in a group.
     """
-    within = list(within)
+    group = list(within)
     key = F.col(value)
     # One past the greatest leading digit, so that NULL comes last.
     after_all = F.lit(2 ** (_DIGIT_BITS + 1)).cast("bigint")
-    zero = F.lit(0).cast("bigint")
+    middle = F.shiftright(key, _DIGIT_BITS).bitwiseAND(F.lit(_DIGIT_MASK))
     digits = histogram.withColumns(
         {
             "_high": F.coalesce(F.shiftright(key, 2 * _DIGIT_BITS), after_all),
-            "_mid": F.coalesce(
-                F.shiftright(key, _DIGIT_BITS).bitwiseAND(F.lit(_DIGIT_MASK)), zero
-            ),
+            "_mid": F.coalesce(middle, F.lit(0).cast("bigint")),
         }
     )
-    mid = digits.groupBy(*within, "_high", "_mid").agg(F.sum(n).alias("_n"))
-    high = mid.groupBy(*within, "_high").agg(F.sum("_n").alias("_n"))
-    high = high.withColumn("_before_high", _count_before(within, ["_high"], "_n"))
-    mid = mid.withColumn(
-        "_before_mid", _count_before([*within, "_high"], ["_mid"], "_n")
-    )
+    mid = digits.groupBy(*group, "_high", "_mid").agg(F.sum(n).alias("_n"))
+    high = mid.groupBy(*group, "_high").agg(F.sum("_n").alias("_n"))
+
     low = digits.withColumn(
-        "_before_low",
-        _count_before([*within, "_high", "_mid"], [value, *ties], n),
+        "_before_low", _sum_before(n, [*group, "_high", "_mid"], [value, *ties])
+    )
+    mid = mid.withColumn("_before_mid", _sum_before("_n", [*group, "_high"], ["_mid"]))
+    high = high.select(
+        *group,
+        "_high",
+        _sum_before("_n", group, ["_high"]).alias("_before_high"),
+        F.sum("_n").over(Window.partitionBy(*group)).alias("total"),
     )
+    before = F.col("_before_high") + F.col("_before_mid") + F.col("_before_low")
     return (
-        low.join(mid.drop("_n"), [*within, "_high", "_mid"])
-        .join(high.drop("_n"), [*within, "_high"])
-        .withColumn(
-            "before", F.col("_before_high") + F.col("_before_mid") + F.col("_before_low")
-        )
-        .select(*histogram.columns, "before")
+        low.join(mid.drop("_n"), [*group, "_high", "_mid"])
+        .join(high, [*group, "_high"])
+        .select(*histogram.columns, before.alias("before"), "total")
     )
 
 
 def value_positions(df: DataFrame, value: str) -> DataFrame:
     """(value, n, before, total): rows equal to a value, rows below it, all rows."""
     histogram = df.groupBy(value).agg(F.count("*").alias("n"))
-    total = df.select(F.count("*")).scalar()
-    return running_counts(histogram, value, "n").withColumn("total", total)
+    return running_counts(histogram, value, "n")
 
 
 def rank_descending() -> Column:
@@ -89,91 +87,90 @@ def percentile_rank() -> Column:
     return mean_rank / F.col("total")
 
 
-def tile_at(position: Column, total: Column, tiles: int) -> Column:
-    """NTILE of a 0-based position: the first ``total % tiles`` tiles get one row more."""
-    size = F.floor(total / tiles).cast("bigint")
-    extra = total % tiles
-    in_large = extra * (size + 1)
-    small = extra + F.floor(
-        (position - in_large) / F.greatest(size, F.lit(1).cast("bigint"))
-    )
-    large = F.floor(position / (size + 1))
-    return (F.when(position < in_large, large).otherwise(small) + 1).cast("bigint")
+def tile_at(position: str, total: str, tiles: int) -> Column:
+    """NTILE of a 0-based position; the first ``total % tiles`` tiles get a row more.
+
+    Of the two quotients - by the larger and by the smaller tile size - the
+    greater one is the tile on either side of the change of size.
+    """
+    larger = f"({position}) div ({total} div {tiles} + 1)"
+    smaller = f"({position} - {total} % {tiles}) div greatest({total} div {tiles}, 1L)"
+    return F.expr(f"greatest({larger}, {smaller}) + 1")
 
 
-def _tile_end(tile: Column, total: Column, tiles: int) -> Column:
-    """0-based position just after the last row of a tile."""
-    size = F.floor(total / tiles).cast("bigint")
-    return tile * size + F.least(tile, total % tiles)
+def _rows_up_to(tile: str, total: str, tiles: int) -> str:
+    """Number of rows in the first ``tile`` tiles."""
+    return f"(({tile}) * ({total} div {tiles}) + least({tile}, {total} % {tiles}))"
 
 
 def with_tiles(
     df: DataFrame, value: str, tie: str, tiles: int, single: Column | None = None
 ) -> DataFrame:
-    """Add ``rank`` (descending) and ``tile`` (ascending) of a bigint value.
-
-    Ties in ``value`` go by ``tie`` (a bigint), then by the other columns. Where all
-    rows of a value fall into one tile - all but at most ``tiles - 1`` values -
-    the value decides. Only rows of a value cut by a tile border are ordered
-    further, by the same digit-wise running counts. ``single`` marks values
-    whose tile does not matter; their rows are never ordered (tile NULL if cut).
+    """Add ``rank`` (descending) and ``tile`` (ascending) of a bigint without NULLs.
+
+    Ties in ``value`` go by ``tie`` (a bigint), then by the other columns. Where
+    all rows of a value fall into one tile - all but at most ``tiles - 1``
+    values - the value decides. Only rows of a value cut by a tile border are
+    ordered further, by the same digit-wise running counts. ``single`` marks
+    values whose tile does not matter; their rows are never ordered (tile NULL
+    if cut).
     """
-    positions = value_positions(df.select(value), value)
-    first = tile_at(F.col("before"), F.col("total"), tiles)
-    last = tile_at(F.col("before") + F.col("n") - 1, F.col("total"), tiles)
-    positions = positions.select(
+    positions = value_positions(df, value).select(
         value,
-        "before",
+        F.col("before").alias("value_before"),
         "total",
         rank_descending().alias("rank"),
-        first.alias("first_tile"),
-        last.alias("last_tile"),
+        tile_at("before", "total", tiles).alias("first_tile"),
+        tile_at("before + n - 1", "total", tiles).alias("last_tile"),
     )
-    ranked = df.join(positions, value)
     cut = F.col("first_tile") != F.col("last_tile")
     ordered = cut & ~single if single is not None else cut
-    columns = [F.col(c) for c in df.columns]
-
+    ranked = df.join(positions, value)
     whole = ranked.where(~ordered).select(
-        *columns, "rank", F.when(~cut, F.col("first_tile")).alias("tile")
+        *df.columns, "rank", F.when(~cut, F.col("first_tile")).alias("tile")
     )
+    in_order = _tiles_of_cut_values(
+        ranked.where(ordered), df.columns, value, tie, tiles
+    )
+    return whole.unionByName(in_order.select(*df.columns, "rank", "tile"))
+
 
-    # Identical rows are counted, placed as one run, and written out again.
-    others = [c for c in df.columns if c not in (value, tie)]
-    runs = ranked.where(ordered).withColumnRenamed("before", "value_before")
-    runs = runs.groupBy(*df.columns, "value_before", "total", "rank").agg(
+def _tiles_of_cut_values(
+    ranked: DataFrame, columns: list[str], value: str, tie: str, tiles: int
+) -> DataFrame:
+    """Order rows of equal ``value``: identical rows are counted and placed as
+    one run, the run is cut at the tile borders, and its rows written out again.
+    """
+    runs = ranked.groupBy(*columns, "value_before", "total", "rank").agg(
         F.count("*").alias("copies")
     )
-    placed = running_counts(runs, tie, "copies", (value,), tuple(others))
-    start = F.col("value_before") + F.col("before")
-    end = start + F.col("copies")
-    total = F.col("total")
-    spans = (
-        placed.withColumn("start", start)
-        .withColumn("end", end)
-        .withColumn(
-            "tile",
-            F.explode(
-                F.sequence(
-                    tile_at(F.col("start"), total, tiles),
-                    tile_at(F.col("end") - 1, total, tiles),
-                )
-            ),
-        )
+    others = tuple(c for c in columns if c not in (value, tie))
+    placed = running_counts(
+        runs.withColumnRenamed("total", "rows"), tie, "copies", (value,), others
+    )
+    spans = placed.select(
+        *columns,
+        "rank",
+        "rows",
+        (F.col("value_before") + F.col("before")).alias("start"),
+        (F.col("value_before") + F.col("before") + F.col("copies")).alias("end"),
     )
-    in_tile = F.least(F.col("end"), _tile_end(F.col("tile"), total, tiles)) - F.greatest(
-        F.col("start"), _tile_end(F.col("tile") - 1, total, tiles)
+    first = tile_at("start", "rows", tiles)
+    last = tile_at("end - 1", "rows", tiles)
+    pieces = spans.withColumn("tile", F.explode(F.sequence(first, last)))
+    tile_end = f"least(end, {_rows_up_to('tile', 'rows', tiles)})"
+    tile_start = f"greatest(start, {_rows_up_to('tile - 1', 'rows', tiles)})"
+    pieces = pieces.withColumn("last_row", F.expr(f"{tile_end} - {tile_start} - 1"))
+    return pieces.withColumn("block", _blocks("last_row")).withColumn(
+        "row", _rows_of_block("block", "last_row")
     )
-    step = F.lit(_EXPAND_STEP).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    rows = (
-        spans.withColumn("in_tile", in_tile)
-        .withColumn("block", F.explode(F.sequence(one, F.col("in_tile"), step)))
-        .withColumn(
-            "row",
-            F.explode(
-                F.sequence("block", F.least(F.col("block") + step - 1, F.col("in_tile")))
-            ),
-        )
+
+
+def _blocks(last: str) -> Column:
+    return F.explode(F.expr(f"sequence(0L, {last}, {_EXPAND_STEP}L)"))
+
+
+def _rows_of_block(block: str, last: str) -> Column:
+    return F.explode(
+        F.expr(f"sequence({block}, least({block} + {_EXPAND_STEP - 1}, {last}))")
     )
-    return whole.unionByName(rows.select(*columns, "rank", "tile"))

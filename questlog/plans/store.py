@@ -26,7 +26,7 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> str:
     files = spark.read.format("binaryFile").load(
         [f"{sf_dir}/events.parquet", f"{sf_dir}/customer.parquet"]
     )
-    listing = files.agg(
+    listing = files.coalesce(1).agg(
         F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")
     ).first()
     key = repr((spark.sparkContext.applicationId, sf_dir, tuple(listing)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Layers and their tables in build order.
 TABLES = {
@@ -26,6 +27,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -44,10 +46,15 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(table))
+        self._schemas[table] = df.schema
         return self.read(table)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """The table as last written; its own write spares reading file footers."""
+        reader = self.spark.read
+        if table in self._schemas:
+            reader = reader.schema(self._schemas[table])
+        return reader.parquet(self.path(table))
 
     def publish(self) -> None:
         """Register the tables, so ``SELECT * FROM gold.mart_...`` works."""
