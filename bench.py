@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR   folder of sample tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local threads (default 8)
+BENCH_MEMORY   heap of the one local process (default 16g)
 
 ``build_*`` entries write each upstream table from nothing; the queries after
 them read those tables and compute their own operator in full.
@@ -32,7 +33,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
-        "questlog-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus)
+        "questlog-bench",
+        master=f"local[{cpus}]",
+        shuffle_partitions=int(cpus),
+        **{"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -16,8 +16,14 @@ def _whole(text: Column, type_name: str) -> Column:
 
 
 def lenient_int(text: Column) -> Column:
-    """Text to int; '3.0' is 3, '2.5' is 3, '1e2' is 100, junk and overflow are NULL."""
-    return _whole(text, "int")
+    """Text to int; '3.0' is 3, '2.5' is 3, '1e2' is 100, junk and overflow are NULL.
+
+    Every int is exact as a double, and the cast back cuts towards zero: adding
+    a half away from zero first rounds. NaN and what is out of range give NULL.
+    """
+    number = lenient_double(text)
+    half = F.when(number < 0, -0.5).otherwise(0.5)
+    return F.coalesce(text.try_cast("int"), (number + half).try_cast("int"))
 
 
 def lenient_double(text: Column) -> Column:

@@ -45,7 +45,7 @@ def typed_events(raw: DataFrame) -> DataFrame:
         "currency",
         "_ingested_at",
         "_source_file",
-    ).withColumn("event_date", F.col("event_time").cast("date"))
+    )
 
 
 def events_clean(raw: DataFrame) -> DataFrame:
@@ -56,14 +56,16 @@ def events_clean(raw: DataFrame) -> DataFrame:
     (WindowGroupLimit) before the shuffle: an id with very many copies, or a
     flood of rows without id, arrives as one row per task.
     """
+    derived_or_first = ("event_id", "event_time", "event_date")
     order = ["_ingested_at", "event_time", "_source_file"]
-    order += [c for c in CLEAN_COLUMNS if c not in ("event_id", "event_time")]
+    order += [c for c in CLEAN_COLUMNS if c not in derived_or_first]
     copies = Window.partitionBy("event_id").orderBy(
         *[F.col(c).asc_nulls_last() for c in order]
     )
-    return (
+    first = (
         typed_events(raw)
         .withColumn("copy", F.row_number().over(copies))
         .where("copy = 1")
-        .select(*CLEAN_COLUMNS)
     )
+    event_date = F.col("event_time").cast("date")
+    return first.withColumn("event_date", event_date).select(*CLEAN_COLUMNS)

@@ -73,6 +73,7 @@ def dedup_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
         timed.withColumn("event_minute", minute)
         .withWatermark("event_minute", lateness)
         .dropDuplicatesWithinWatermark(["event_id"])
+        .withColumn("event_date", F.col("event_time").cast("date"))
         .select(*CLEAN_COLUMNS, "event_minute")
     )
 
