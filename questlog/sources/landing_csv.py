@@ -5,8 +5,10 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import urlsplit
 
-import pyarrow as pa
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,36 +36,81 @@ ASSIGNMENT_COLUMNS = [
     "retention_7",
 ]
 
+# Bytes read at a time until a header line is complete.
+_PROBE_BYTES = 16 * 1024
+
 
 def text_schema(columns: list[str]) -> T.StructType:
     """Every column as string."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_line(path: str) -> str | None:
+    """First line of a file, read by the first bytes; None if it cannot be opened here."""
+    uri = urlsplit(path)
+    try:
+        if uri.scheme in ("", "file"):
+            files, name = fs.LocalFileSystem(), path.removeprefix("file:")
+        else:
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.scheme, uri.scheme)
+            files, name = fs.FileSystem.from_uri(f"{scheme}://{uri.netloc}{uri.path}")
+        head = b""
+        with files.open_input_stream(name) as stream:
+            while b"\n" not in head and (chunk := stream.read(_PROBE_BYTES)):
+                head += chunk
+    except (OSError, ValueError, NotImplementedError):
+        return None
+    line = head.split(b"\n", 1)[0].decode("utf-8-sig")
+    return line.rstrip("\r")
+
+
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+        yield batch.assign(header=batch["path"].map(_first_line))
+
+
+def _as_stored(encoded: Column) -> Column:
+    """Spark hands out file paths URL-encoded; undo it where it shows."""
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
+
 
+def file_path() -> Column:
+    """Path of the row's file."""
+    return _as_stored(F.col("_metadata.file_path"))
 
-def _headers(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
-    """(file, header line) of every non-empty file, sorted by file.
 
-    One task opens one file and stops after its first line, so the pass costs
-    one read buffer per file whatever the file sizes. The settings for that
-    live in a session of their own.
+def file_name() -> Column:
+    """Last part of the path of the row's file."""
+    return _as_stored(F.col("_metadata.file_name"))
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
+    """Header line of every non-empty file.
+
+    Tasks open the listed files and read the first bytes of each. Files on
+    storage that Python cannot open there are read by Spark instead, whole.
     """
-    probe = spark.newSession()
-    whole_file = str(2**62)
-    probe.conf.set("spark.sql.files.maxPartitionBytes", whole_file)
-    probe.conf.set("spark.sql.files.openCostInBytes", whole_file)
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = probe.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("header")
+    files = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .where(F.col("length") > 0)
+        .select("path")
     )
-    rows = lines.mapInArrow(_first_row, "file string, header string").collect()
-    return sorted((r["file"], r["header"]) for r in rows)
+    rows = files.mapInPandas(_first_lines, "path string, header string").collect()
+    found = {r["path"]: r["header"] for r in rows}
+    unread = sorted(p for p, header in found.items() if header is None)
+    if unread:
+        lines = spark.read.text(unread).select(
+            file_path().alias("path"),
+            "value",
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        firsts = lines.where("block = 0").groupBy("path")
+        for r in firsts.agg(F.min_by("value", "line").alias("header")).collect():
+            found[r["path"]] = r["header"].removeprefix("\ufeff")
+    return dict(sorted(found.items()))
 
 
 def read_csv_by_name(
@@ -76,11 +123,11 @@ def read_csv_by_name(
     reach the driver. Provenance: ``filename`` and ``_source_file``.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, line in _headers(spark, path):
-        columns = tuple(next(csv.reader([line.removeprefix("\ufeff")])))
+    for file, line in _headers(spark, path).items():
+        columns = tuple(next(csv.reader([line])))
         groups.setdefault(columns, []).append(file)
     if not groups:
-        raise FileNotFoundError(f"no CSV rows under {path}")
+        raise FileNotFoundError(f"no CSV header under {path}")
 
     parts = []
     for columns, files in groups.items():
@@ -94,8 +141,8 @@ def read_csv_by_name(
         parts.append(
             part.select(
                 "*",
-                F.col("_metadata.file_path").alias("filename"),
-                F.col("_metadata.file_name").alias("_source_file"),
+                file_path().alias("filename"),
+                file_name().alias("_source_file"),
             )
         )
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

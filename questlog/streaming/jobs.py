@@ -18,7 +18,12 @@ from questlog.operators.sessions import (
     finish,
     measures,
 )
-from questlog.sources.landing_csv import EVENT_COLUMNS, text_schema
+from questlog.sources.landing_csv import (
+    EVENT_COLUMNS,
+    file_name,
+    file_path,
+    text_schema,
+)
 
 # Copies and late events arrive up to 26 hours after the event; files are read
 # in drop order, a day apart.
@@ -40,8 +45,8 @@ def read_landing_stream(spark: SparkSession, landing: str) -> DataFrame:
         .csv(landing)
         .select(
             "*",
-            F.col("_metadata.file_path").alias("filename"),
-            F.col("_metadata.file_name").alias("_source_file"),
+            file_path().alias("filename"),
+            file_name().alias("_source_file"),
             F.current_timestamp().alias("_ingested_at"),
         )
     )
@@ -108,8 +113,16 @@ def session_stream(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFra
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """Session that merges a batch's sessions before the shuffle, for hot users."""
+    """Session for the jobs below, with settings of its own.
+
+    State lives in RocksDB, off the heap and spilling to disk. A batch's
+    sessions are merged before the shuffle, so a hot user is few rows.
+    """
     session = spark.newSession()
+    session.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
     session.conf.set(
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
     )
