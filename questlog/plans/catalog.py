@@ -80,69 +80,66 @@ def _csv_union_by_name(s: Store) -> DataFrame:
     return landing_csv.read_event_drops(s.spark, folders).select(*EVENT_COLUMNS)
 
 
+class _StreamFolders:
+    """Landing zone, table and checkpoint of one stream, and the raw rows to land."""
+
+    def __init__(self, s: Store):
+        self.spark = jobs.streaming_session(s.spark)
+        folder = scratch_dir(s.spark, "stream")
+        self.landing = f"{folder}/landing"
+        self.table = f"{folder}/table"
+        self.checkpoint = f"{folder}/checkpoint"
+        self.raw = Store(self.spark, s.sf_dir).raw_events
+
+    def land(self, rows: DataFrame) -> None:
+        landing_csv.land_by_drop_date(rows, self.landing)
+
+    def run(self, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Run a job on what landed since its last run; the whole table so far."""
+        stream = jobs.read_landing_stream(self.spark, self.landing)
+        jobs.append_available(job(stream), self.table, self.checkpoint)
+        return self.spark.read.parquet(self.table)
+
+
 def _stream_incremental_load(s: Store) -> DataFrame:
     """Two runs of the load; the second sees the later drops only."""
-    spark = jobs.streaming_session(s.spark)
-    folder = scratch_dir(spark, "incremental")
-    landing, table, checkpoint = (
-        f"{folder}/{name}" for name in ("landing", "table", "checkpoint")
-    )
+    folders = _StreamFolders(s)
     first_half = F.coalesce(F.dayofmonth(drop_date()) <= 15, F.lit(True))
-    raw = Store(spark, s.sf_dir).raw_events.select(*EVENT_COLUMNS, *_SOURCE)
-    for drops in (raw.where(first_half), raw.where(~first_half)):
-        rows = drops.withColumn("landing_date", drop_date())
-        (
-            rows.drop(*_SOURCE)
-            .hint("rebalance", "landing_date")
-            .write.mode("append")
-            .partitionBy("landing_date")
-            .csv(landing, header=True, escape='"')
-        )
-        jobs.append_available(
-            jobs.read_landing_stream(spark, landing), table, checkpoint
-        )
-    return spark.read.parquet(table).select(*EVENT_COLUMNS)
-
-
-def _landed_stream(s: Store) -> tuple[SparkSession, str, DataFrame, DataFrame]:
-    """Landing folder filled with all raw rows, the raw rows, the stream on it."""
-    spark = jobs.streaming_session(s.spark)
-    folder = scratch_dir(spark, "stream")
-    raw = Store(spark, s.sf_dir).raw_events
-    landing_csv.land_by_drop_date(raw, f"{folder}/landing", "parquet")
-    stream = (
-        spark.readStream.schema(raw.schema)
-        .option("recursiveFileLookup", True)
-        .parquet(f"{folder}/landing")
-    )
-    return spark, folder, raw, stream
+    for drops in (folders.raw.where(first_half), folders.raw.where(~first_half)):
+        folders.land(drops)
+        loaded = folders.run(lambda stream: stream)
+    return loaded.select(*EVENT_COLUMNS)
 
 
 def _stream_dedup(s: Store) -> DataFrame:
-    spark, folder, _, stream = _landed_stream(s)
-    deduped = jobs.dedup_stream(stream).drop("event_minute")
-    jobs.append_available(deduped, f"{folder}/table", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/table")
+    folders = _StreamFolders(s)
+    folders.land(folders.raw)
+    return folders.run(lambda stream: jobs.dedup_stream(stream).drop("event_minute"))
 
 
 def _stream_sessions(s: Store) -> DataFrame:
     """Sessions of all landed rows; a far-future event then closes the last ones."""
-    spark, folder, raw, stream = _landed_stream(s)
-    table, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
-    sessions_of_stream = jobs.session_stream(jobs.dedup_stream(stream))
-    jobs.append_available(sessions_of_stream, table, checkpoint)
-
-    closing = {"event_id": "closing", "client_event_time": "2999-01-01 00:00:00"}
-    row = spark.range(1).select(
-        *[
-            F.lit(closing.get(f.name)).cast(f.dataType).alias(f.name)
-            for f in raw.schema
-        ],
-        F.lit("2999-01-01").cast("date").alias("landing_date"),
+    folders = _StreamFolders(s)
+
+    def job(stream: DataFrame) -> DataFrame:
+        return jobs.session_stream(jobs.dedup_stream(stream))
+
+    folders.land(folders.raw)
+    folders.run(job)
+    closing = {
+        "event_id": "closing",
+        "client_event_time": "2999-01-01 00:00:00",
+        "_source_file": "events_2999-01-01.csv",
+    }
+    folders.land(
+        folders.spark.range(1).select(
+            *[
+                F.lit(closing.get(c)).cast("string").alias(c)
+                for c in (*EVENT_COLUMNS, *_SOURCE)
+            ]
+        )
     )
-    row.write.mode("append").partitionBy("landing_date").parquet(f"{folder}/landing")
-    jobs.append_available(sessions_of_stream, table, checkpoint)
-    return spark.read.parquet(table)
+    return folders.run(job)
 
 
 QUERIES: dict[str, Query] = {

@@ -173,19 +173,16 @@ def drop_date() -> Column:
     return F.regexp_extract(path, r".*(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
 
 
-def land_by_drop_date(events: DataFrame, path: str, file_format: str = "csv") -> None:
-    """Append drops to a landing folder partitioned by ``landing_date``.
+def land_by_drop_date(events: DataFrame, path: str) -> None:
+    """Append rows to a CSV landing folder partitioned by ``landing_date``.
 
     The rebalance hint gathers each date into few files and lets adaptive
     execution split a date that holds most of the rows.
     """
     (
-        events.withColumn("landing_date", drop_date())
+        events.select(*EVENT_COLUMNS, drop_date().alias("landing_date"))
         .hint("rebalance", "landing_date")
         .write.mode("append")
         .partitionBy("landing_date")
-        .option("header", True)
-        .option("escape", '"')
-        .format(file_format)
-        .save(path)
+        .csv(path, header=True, escape='"')
     )

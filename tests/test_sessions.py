@@ -1,0 +1,185 @@
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from questlog.operators.sessions import sessions, sessions_by_session_window
+from tests.fixtures import clean_events, day
+
+
+def _spans(spark, rows):
+    out = sessions(clean_events(spark, rows)).collect()
+    return sorted(
+        ((r["userid"] or 0, str(r["session_start"]), r["event_count"]) for r in out)
+    )
+
+
+def _at(*times, userid=1):
+    return [{"event_time": f"2024-01-{t}", "userid": userid} for t in times]
+
+
+def test_gap_counts_minute_boundaries(spark):
+    rows = _at("01 10:00:59", "01 10:31:00") + _at("01 10:00:00", "01 10:30:59", userid=2)
+    assert [n for _, _, n in _spans(spark, rows)] == [1, 1, 2]
+
+
+def test_equal_times_share_a_session(spark):
+    rows = _at("01 10:00:00", "01 12:00:00", "01 12:00:00")
+    assert [n for _, _, n in _spans(spark, rows)] == [1, 2]
+
+
+def test_session_over_midnight_belongs_to_its_first_day(spark):
+    out = sessions(clean_events(spark, _at("01 23:50:00", "02 00:10:00"))).collect()
+    assert [(r["session_date"], r["session_duration_seconds"]) for r in out] == [
+        (day("2024-01-01"), 1200)
+    ]
+
+
+def test_session_row(spark):
+    rows = [
+        {"event_time": "2024-01-01 10:00:00.9", "platform": None, "rounds_completed": 2},
+        {
+            "event_time": "2024-01-01 10:00:01.1",
+            "platform": "android",
+            "event_name": "purchase",
+            "revenue_usd": 0.1,
+        },
+        {"event_time": "2024-01-01 10:05:00", "rounds_completed": 3, "revenue_usd": 0.2},
+    ]
+    row = sessions(clean_events(spark, rows)).first().asDict()
+    assert row["session_id"] == "1-1"
+    assert row["session_duration_seconds"] == 300
+    assert (row["event_count"], row["rounds_played"], row["purchase_count"]) == (3, 5, 1)
+    assert row["revenue_usd"] == 0.3
+    assert row["platform"] == "android"
+
+
+def test_without_rounds_and_revenue_sums_are_zero(spark):
+    row = sessions(clean_events(spark, _at("01 10:00:00"))).first()
+    assert (row["rounds_played"], row["revenue_usd"], row["purchase_count"]) == (0, 0.0, 0)
+
+
+def _expected(rows, gap=30):
+    """Sessions by walking every user's events in order, one by one."""
+    by_user = {}
+    for row in rows:
+        by_user.setdefault(row["userid"], []).append(row)
+    out = []
+    for user, events in by_user.items():
+        events.sort(key=lambda r: (r["event_time"] is None, r["event_time"] or ""))
+        groups, previous = [], None
+        for event in events:
+            now = event["event_time"]
+            minute = datetime.fromisoformat(now).replace(second=0, microsecond=0) if now else None
+            fresh = previous is None
+            if not fresh and minute is not None:
+                fresh = minute - previous > timedelta(minutes=gap)
+            if fresh:
+                groups.append([])
+            groups[-1].append(event)
+            previous = minute
+        for number, group in enumerate(groups, 1):
+            start = min((e["event_time"] for e in group if e["event_time"]), default=None)
+            out.append((user, number, start, len(group)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_a_walk_over_events(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(600):
+        at = datetime(2024, 1, 1) + timedelta(seconds=rnd.randrange(3 * 86400))
+        rows.append(
+            {
+                # one user holds a third of all events, some have no id
+                "userid": rnd.choice([7, 7, 7, 1, 2, 3, 4, 5, None]),
+                "event_time": at.isoformat(sep=" ") if rnd.random() > 0.05 else None,
+                "platform": rnd.choice(["ios", "android", None]),
+                "rounds_completed": rnd.choice([None, 1, 2]),
+                "revenue_usd": rnd.choice([None, None, 0.99]),
+                "event_name": rnd.choice(["app_open", "purchase"]),
+            }
+        )
+    out = sessions(clean_events(spark, rows)).collect()
+    # numbers of a user's untimed events are interchangeable, their sizes are not
+    got = Counter(
+        (
+            r["userid"],
+            int(r["session_id"].split("-")[1]) if r["session_id"] else None,
+            r["session_start"].isoformat(sep=" ") if r["session_start"] else None,
+            r["event_count"],
+        )
+        for r in out
+    )
+    expected = Counter(
+        (u, n if u is not None else None, s, c) for u, n, s, c in _expected(rows)
+    )
+    assert got == expected
+    assert sum(r["event_count"] for r in out) == len(rows)
+    assert sum(r["rounds_played"] for r in out) == sum(r["rounds_completed"] or 0 for r in rows)
+    assert sum(r["purchase_count"] for r in out) == sum(
+        r["event_name"] == "purchase" for r in rows
+    )
+    revenue = sum(round(100 * r["revenue_usd"]) for r in out)
+    assert revenue == sum(round(100 * (r["revenue_usd"] or 0)) for r in rows)
+
+
+def test_first_untimed_event_joins_the_last_session(spark):
+    rows = _at("01 10:00:00") + [{"event_time": None} for _ in range(250)]
+    out = sessions(clean_events(spark, rows)).collect()
+    assert sorted(r["event_count"] for r in out) == [1] * 249 + [2]
+    assert {r["session_id"] for r in out} == {f"1-{n}" for n in range(1, 251)}
+
+
+def test_long_runs_of_equal_untimed_events(spark, monkeypatch):
+    monkeypatch.setattr("questlog.operators.sessions._EXPAND_STEP", 7)
+    out = sessions(clean_events(spark, [{"event_time": None}] * 50)).collect()
+    assert {r["session_id"] for r in out} == {f"1-{n}" for n in range(1, 51)}
+
+
+def test_session_window_gives_the_same_sessions(spark):
+    rnd = random.Random(4)
+    rows = [
+        {
+            "userid": rnd.randrange(4),
+            "event_time": (
+                datetime(2024, 1, 1) + timedelta(seconds=rnd.randrange(86400))
+            ).isoformat(sep=" "),
+        }
+        for _ in range(200)
+    ]
+    events = clean_events(spark, rows)
+    a = sessions(events).drop("session_id")
+    b = sessions_by_session_window(events)
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
+def test_events_are_summed_before_users_are_gathered(spark):
+    plan = sessions(clean_events(spark, _at("01 10:00:00")))._jdf.queryExecution()
+    physical = plan.executedPlan().toString()
+    assert physical.count("Exchange") == 2
+    first = physical.rindex("Exchange")
+    assert "partial_count(1)" in physical[first:]
+    assert "SinglePartition" not in physical
+
+
+def test_hot_user_is_a_row_per_minute(spark):
+    from questlog.operators.sessions import minute_rollup
+
+    events = spark.range(20000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.lit("app_open").alias("event_name"),
+        F.expr(
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 600)"
+        ).alias("event_time"),
+        F.lit(1).cast("bigint").alias("userid"),
+        *[F.lit("x").alias(c) for c in ("platform", "country", "app_version")],
+        F.lit(1).alias("rounds_completed"),
+        F.lit(None).cast("double").alias("revenue_usd"),
+    )
+    assert minute_rollup(events).count() == 10
+    row = sessions(events).collect()
+    assert [(r["event_count"], r["rounds_played"]) for r in row] == [(20000, 20000)]
