@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from questlog.session import materialise
+
 _DIGIT_BITS = 21
 _DIGIT_MASK = 2**_DIGIT_BITS - 1
 # A run of identical rows is expanded in steps, so no array exceeds this length.
@@ -71,9 +73,14 @@ def running_counts(
 
 
 def value_positions(df: DataFrame, value: str) -> DataFrame:
-    """(value, n, before, total): rows equal to a value, rows below it, all rows."""
+    """(value, n, before, total): rows equal to a value, rows below it, all rows.
+
+    Written out, so that joining it back broadcasts it if it is small, without
+    shuffling the ranked rows by a value that may be on most of them. A large
+    one is joined by shuffle, where adaptive execution splits such a value.
+    """
     histogram = df.groupBy(value).agg(F.count("*").alias("n"))
-    return running_counts(histogram, value, "n")
+    return materialise(running_counts(histogram, value, "n"), "positions")
 
 
 def rank_descending() -> Column:
@@ -125,12 +132,13 @@ def with_tiles(
     )
     cut = F.col("first_tile") != F.col("last_tile")
     ordered = cut & ~single if single is not None else cut
-    ranked = df.join(positions, value)
-    whole = ranked.where(~ordered).select(
+    whole = df.join(positions.where(~ordered), value).select(
         *df.columns, "rank", F.when(~cut, F.col("first_tile")).alias("tile")
     )
+    # Each border cuts one value: at most tiles - 1 rows to broadcast.
+    cut_values = F.broadcast(positions.where(ordered))
     in_order = _tiles_of_cut_values(
-        ranked.where(ordered), df.columns, value, tie, tiles
+        df.join(cut_values, value), df.columns, value, tie, tiles
     )
     return whole.unionByName(in_order.select(*df.columns, "rank", "tile"))
 

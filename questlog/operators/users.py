@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.functions import day_diff, strict
+from questlog.session import materialise
 
 
 def typed_assignments(raw: DataFrame) -> DataFrame:
@@ -87,9 +88,10 @@ def users_dim(
 ) -> DataFrame:
     """One row per assignment: published metrics, attributes, recomputed metrics.
 
-    Attributes and recomputed metrics meet on the user before the assignments
-    are joined, once. A user id assigned many times stays many rows; adaptive
-    skew handling splits its partition of that join.
+    Attributes and recomputed metrics meet on the user first and are written
+    out, one row per user. The assignments are joined to that table, once. A
+    user id assigned many times stays many rows; the join is between two plain
+    shuffles, so adaptive execution can split its partition.
     """
     attr_columns = ["install_date", "platform", "country", "latest_app_version"]
     per_user = (
@@ -104,7 +106,7 @@ def users_dim(
     }
     return (
         typed_assignments(raw_assignments)
-        .join(per_user, "userid", "left")
+        .join(materialise(per_user, "per-user"), "userid", "left")
         .select(
             "userid",
             "ab_version",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -55,3 +55,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="questlog-"))
         shared = spark.sparkContext.getCheckpointDir()
     return f"{shared.rstrip('/')}/questlog/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared scratch folder and read back.
+
+    Cuts the lineage, and the planner then knows the size: it broadcasts the
+    table only if that is below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    spark = df.sparkSession
+    folder = scratch_dir(spark, purpose)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

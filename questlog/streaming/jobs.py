@@ -119,6 +119,8 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     sessions are merged before the shuffle, so a hot user is few rows.
     """
     session = spark.newSession()
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(partitions, spark.conf.get(partitions))
     session.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from questlog.operators import engagement, ranking
 
@@ -69,15 +70,36 @@ def test_running_counts(spark):
     }
 
 
-def test_no_user_sized_single_partition(spark):
-    """Only the leading digits of the histogram, already counted, meet in one task."""
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_leading_digits_meet_in_one_task(spark):
+    users = spark.createDataFrame([(1, 3)], "userid bigint, v bigint")
+    histogram = users.groupBy("v").agg(F.count("*").alias("n"))
+    lines = _physical(ranking.running_counts(histogram, "v", "n")).splitlines()
+    single = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert single
+    for i in single:
+        assert "HashAggregate(keys=[_high" in lines[i + 1]
+
+
+def test_ranked_rows_are_not_shuffled_by_value(spark):
     users = spark.createDataFrame(
         [(1, "a", "ios", "US", 3)],
         "userid bigint, ab_version string, platform string, country string, "
         "event_derived_rounds bigint",
     )
-    plan = engagement.engagement_segments(users)._jdf.queryExecution().executedPlan()
-    lines = plan.toString().splitlines()
-    for i, line in enumerate(lines):
-        if "SinglePartition" in line:
-            assert "HashAggregate(keys=[_high" in lines[i + 1]
+    for df in (engagement.top_players(users), engagement.engagement_percentile(users)):
+        assert "BroadcastHashJoin" in _physical(df)
+        assert "Exchange hashpartitioning" not in _physical(df)
+    assert "SinglePartition" not in _physical(engagement.engagement_segments(users))
+
+
+def test_large_histograms_join_by_shuffle(spark):
+    rows = [(i % 50, i, "x") for i in range(500)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _tiled(spark, rows) == _expected(rows, 4)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
