@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 def land(rows: DataFrame) -> DataFrame:
     """Stamp delivered rows with one load time; duplicates and NULLs stay."""
-    if "_ingested_at" in rows.columns:
-        return rows
-    return rows.withColumn("_ingested_at", F.current_timestamp())
+    if "_ingested_at" not in rows.columns:
+        rows = rows.withColumn("_ingested_at", F.current_timestamp())
+    provenance = ["filename", "_ingested_at", "_source_file"]
+    data = [c for c in rows.columns if c not in provenance]
+    return rows.select(*data, *provenance)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -65,19 +65,27 @@ def append_available(stream: DataFrame, table: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def dedup_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
+def dedup_stream(
+    raw: DataFrame, lateness: str = LATENESS, splits: int | None = 32
+) -> DataFrame:
     """One row per event_id among the copies at most ``lateness`` apart.
 
     The state holds ids of that time only. Copies further apart, and events
-    without a time, are the batch job's business.
+    without a time, are the batch job's business. Copies are dropped per id
+    and group of reading tasks first, so an id delivered very many times is at
+    most ``splits`` rows when its copies meet; ``None`` saves that step's state
+    where no id can be frequent.
     """
     timed = typed_events(raw).where(F.col("event_time").isNotNull())
     # Watermarks need an instant; the minute's number stands for it in any zone.
     minute = F.timestamp_seconds(minute_index(F.col("event_time")) * 60)
+    copies = timed.withColumn("event_minute", minute)
+    copies = copies.withWatermark("event_minute", lateness)
+    if splits:
+        copies = copies.withColumn("split", F.spark_partition_id() % splits)
+        copies = copies.dropDuplicatesWithinWatermark(["event_id", "split"])
     return (
-        timed.withColumn("event_minute", minute)
-        .withWatermark("event_minute", lateness)
-        .dropDuplicatesWithinWatermark(["event_id"])
+        copies.dropDuplicatesWithinWatermark(["event_id"])
         .withColumn("event_date", F.col("event_time").cast("date"))
         .select(*CLEAN_COLUMNS, "event_minute")
     )
@@ -112,20 +120,26 @@ def session_stream(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFra
     return finish(rolled.withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """Session for the jobs below, with settings of its own.
 
     State lives in RocksDB, off the heap and spilling to disk. A batch's
-    sessions are merged before the shuffle, so a hot user is few rows.
+    sessions are merged before the shuffle, so a hot user is few rows. The
+    number of state partitions is fixed with a checkpoint's first run, and
+    adaptive execution does not merge them: by default two per core, at most
+    the shuffle setting.
     """
     session = spark.newSession()
-    partitions = "spark.sql.shuffle.partitions"
-    session.conf.set(partitions, spark.conf.get(partitions))
-    session.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    session.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
+    if partitions is None:
+        setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(setting, 2 * spark.sparkContext.defaultParallelism)
+    settings = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    }
+    for key, value in settings.items():
+        session.conf.set(key, value)
     return session
