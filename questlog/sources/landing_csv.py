@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from urllib.parse import urlsplit
 
@@ -36,37 +36,43 @@ ASSIGNMENT_COLUMNS = [
     "retention_7",
 ]
 
-# Bytes read at a time until a header line is complete.
-_PROBE_BYTES = 16 * 1024
-
 
 def text_schema(columns: list[str]) -> T.StructType:
     """Every column as string."""
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _first_line(path: str) -> str | None:
-    """First line of a file, read by the first bytes; None if it cannot be opened here."""
-    uri = urlsplit(path)
-    try:
-        if uri.scheme in ("", "file"):
-            files, name = fs.LocalFileSystem(), path.removeprefix("file:")
-        else:
-            scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.scheme, uri.scheme)
-            files, name = fs.FileSystem.from_uri(f"{scheme}://{uri.netloc}{uri.path}")
-        head = b""
-        with files.open_input_stream(name) as stream:
-            while b"\n" not in head and (chunk := stream.read(_PROBE_BYTES)):
-                head += chunk
-    except (OSError, ValueError, NotImplementedError):
-        return None
-    line = head.split(b"\n", 1)[0].decode("utf-8-sig")
-    return line.rstrip("\r")
+def _header_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Adds ``header``, the first line of the file at ``path``, read by its first bytes.
 
+    The header is None where the file cannot be opened from Python. Nested
+    functions travel to the tasks by value, so executors need not have this
+    package installed.
+    """
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(header=batch["path"].map(_first_line))
+    def first_line(path: str) -> str | None:
+        uri = urlsplit(path)
+        try:
+            if uri.scheme in ("", "file"):
+                files, name = fs.LocalFileSystem(), path.removeprefix("file:")
+            else:
+                scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.scheme, uri.scheme)
+                files, name = fs.FileSystem.from_uri(
+                    f"{scheme}://{uri.netloc}{uri.path}"
+                )
+            head = b""
+            with files.open_input_stream(name) as stream:
+                while b"\n" not in head and (chunk := stream.read(16 * 1024)):
+                    head += chunk
+        except (OSError, ValueError, NotImplementedError):
+            return None
+        return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+
+    def add_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(header=[first_line(path) for path in batch["path"]])
+
+    return add_headers
 
 
 def _as_stored(encoded: Column) -> Column:
@@ -97,7 +103,7 @@ def _headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
         .where(F.col("length") > 0)
         .select("path")
     )
-    rows = files.mapInPandas(_first_lines, "path string, header string").collect()
+    rows = files.mapInPandas(_header_reader(), "path string, header string").collect()
     found = {r["path"]: r["header"] for r in rows}
     unread = sorted(p for p, header in found.items() if header is None)
     if unread:

@@ -1,4 +1,8 @@
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 
 from questlog.operators.bronze import land
 from questlog.plans import medallion
@@ -35,23 +39,39 @@ def test_columns_match_by_name(spark, tmp_path):
 def test_headers_from_spark_where_python_cannot_open(spark, tmp_path, monkeypatch):
     _write(tmp_path / "f1.csv", "a,b\n1,2\n")
     _write(tmp_path / "f 2.csv", "﻿b,a\n2,1\n")
-    monkeypatch.setattr(landing_csv, "_first_lines", _none)
+    monkeypatch.setattr(landing_csv, "_header_reader", lambda: _no_header)
     rows = landing_csv.read_csv_by_name(spark, str(tmp_path)).select("a", "b").collect()
     assert [tuple(r) for r in rows] == [("1", "2")] * 2
 
 
-def _none(batches):
+def _no_header(batches):
     for batch in batches:
         yield batch.assign(header=None)
 
 
-def test_header_longer_than_one_probe(spark, tmp_path, monkeypatch):
+def test_header_longer_than_one_read(spark, tmp_path):
     names = [f"column_{i}" for i in range(4000)]
     _write(tmp_path / "f.csv", ",".join(names) + "\n" + "x," * 3999 + "x\n")
     (path,) = landing_csv._headers(spark, str(tmp_path)).items()
     assert path[1].split(",") == names
 
 
+def test_header_reader_needs_no_package_on_executors():
+    code = (
+        "import pickle, sys; "
+        "fn = pickle.loads(sys.stdin.buffer.read()); "
+        "assert 'questlog' not in sys.modules; print(callable(fn))"
+    )
+    out = subprocess.run(
+        [sys.executable, "-c", code],
+        input=cloudpickle.dumps(landing_csv._header_reader()),
+        capture_output=True,
+        cwd="/",
+        check=True,
+    )
+    assert out.stdout.strip() == b"True"
+
+
 def test_nothing_to_read(spark, tmp_path):
     _write(tmp_path / "f.csv", "")
     with pytest.raises(FileNotFoundError):
