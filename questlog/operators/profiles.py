@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.functions import day_diff, ratio, round_half_away, strict
@@ -21,19 +21,24 @@ def late_arrival_profile(raw: DataFrame) -> DataFrame:
 
 
 def duplicate_delivery_profile(raw: DataFrame) -> DataFrame:
-    """Events by number of delivered copies, with their share of events and rows."""
+    """Events by number of delivered copies, with their share of events and rows.
+
+    The totals run over one row per number of copies; k different numbers need
+    more than k * k / 2 delivered rows, so these are few.
+    """
     copies = raw.groupBy("event_id").agg(F.count("*").alias("copies"))
     by_copies = copies.groupBy("copies").agg(F.count("*").alias("events"))
-    rows = F.col("copies") * F.col("events")
-    totals = by_copies.agg(F.sum("events").alias("e"), F.sum(rows).alias("r"))
-    return by_copies.select(
-        "copies",
-        "events",
-        rows.alias("delivered_rows"),
-        round_half_away(
-            ratio(F.col("events"), totals.select("e").scalar()), 4
-        ).alias("event_share"),
-        round_half_away(ratio(rows, totals.select("r").scalar()), 4).alias("row_share"),
+    counted = by_copies.withColumn("delivered_rows", F.col("copies") * F.col("events"))
+
+    def share_of_all(column: str) -> Column:
+        total = F.sum(column).over(Window.partitionBy())
+        return round_half_away(ratio(F.col(column), total), 4)
+
+    return counted.withColumns(
+        {
+            "event_share": share_of_all("events"),
+            "row_share": share_of_all("delivered_rows"),
+        }
     )
 
 

@@ -127,6 +127,9 @@ def read_csv_by_name(
     Spark matches CSV columns by position, so files are read in groups of equal
     header; a column a file lacks is NULL. Only file names and header lines
     reach the driver. Provenance: ``filename`` and ``_source_file``.
+
+    A row with more or fewer fields than its header fails the load. Set
+    ``multiline`` for line breaks inside quotes; a file is then one task.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, line in _headers(spark, path).items():
@@ -141,6 +144,7 @@ def read_csv_by_name(
             spark.read.schema(text_schema(list(columns)))
             .option("header", True)
             .option("escape", '"')
+            .option("mode", "FAILFAST")
             .option("multiLine", multiline)
             .csv(files)
         )
@@ -163,14 +167,18 @@ def _with_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def read_event_drops(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Telemetry drops, ready for ``operators.bronze.raw_events``."""
-    return _with_columns(read_csv_by_name(spark, path), EVENT_COLUMNS)
+def read_event_drops(
+    spark: SparkSession, path: str | list[str], multiline: bool = False
+) -> DataFrame:
+    """Telemetry drops as delivered, ready for ``operators.bronze.land``."""
+    return _with_columns(read_csv_by_name(spark, path, multiline), EVENT_COLUMNS)
 
 
-def read_assignments(spark: SparkSession, path: str) -> DataFrame:
-    """Experiment export, ready for ``operators.bronze.raw_assignments``."""
-    return _with_columns(read_csv_by_name(spark, path), ASSIGNMENT_COLUMNS)
+def read_assignments(
+    spark: SparkSession, path: str | list[str], multiline: bool = False
+) -> DataFrame:
+    """Experiment export as delivered, ready for ``operators.bronze.land``."""
+    return _with_columns(read_csv_by_name(spark, path, multiline), ASSIGNMENT_COLUMNS)
 
 
 def drop_date() -> Column:

@@ -41,6 +41,7 @@ def read_landing_stream(spark: SparkSession, landing: str) -> DataFrame:
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("recursiveFileLookup", True)
         .csv(landing)
         .select(

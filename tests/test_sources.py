@@ -72,6 +72,19 @@ def test_header_reader_needs_no_package_on_executors():
     assert out.stdout.strip() == b"True"
 
 
+def test_rows_that_do_not_fit_the_header_fail(spark, tmp_path):
+    for i, row in enumerate(["1,2,3,4", "1,2"]):
+        _write(tmp_path / str(i) / "f.csv", f"a,b,c\n1,2,3\n{row}\n")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            landing_csv.read_csv_by_name(spark, str(tmp_path / str(i))).collect()
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    _write(tmp_path / "f.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    df = landing_csv.read_csv_by_name(spark, str(tmp_path), multiline=True)
+    assert [tuple(r)[:2] for r in df.collect()] == [("1", "x\ny"), ("2", "z")]
+
+
 def test_nothing_to_read(spark, tmp_path):
     _write(tmp_path / "f.csv", "")
     with pytest.raises(FileNotFoundError):
