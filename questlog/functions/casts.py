@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 
 def _whole(text: Column, type_name: str) -> Column:
-    # '3.0' is not a Spark integer literal, so retry through a decimal, which
-    # rounds half away from zero and rejects NaN, inf and '1d'.
-    return F.coalesce(
-        text.try_cast(type_name),
-        F.round(text.try_cast("decimal(38,12)"), 0).try_cast(type_name),
+    # '3.0' is not a Spark integer literal: such text goes through a decimal,
+    # which rounds half away from zero and rejects NaN, inf and '1d'. Which way
+    # to go is seen from the text, as a failing cast costs an exception per row.
+    number = F.round(text.try_cast("decimal(38,12)"), 0).try_cast(type_name)
+    fraction = text.contains(".") | F.lower(text).contains("e")
+    return F.when(fraction, number).otherwise(text.try_cast(type_name))
+
+
+def lenient_double(text: Column) -> Column:
+    """Text to double; junk is NULL. Java's '1d' / '1f' suffixes count as junk."""
+    trimmed = F.lower(F.rtrim(text))
+    suffixed = trimmed.endswith("d") | (
+        trimmed.endswith("f") & ~trimmed.endswith("inf")
     )
+    return F.when(~suffixed, text.try_cast("double"))
 
 
 def lenient_int(text: Column) -> Column:
@@ -23,12 +32,7 @@ def lenient_int(text: Column) -> Column:
     """
     number = lenient_double(text)
     half = F.when(number < 0, -0.5).otherwise(0.5)
-    return F.coalesce(text.try_cast("int"), (number + half).try_cast("int"))
-
-
-def lenient_double(text: Column) -> Column:
-    """Text to double; junk is NULL. Java's '1d' / '1f' suffixes count as junk."""
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    return (number + half).try_cast("int")
 
 
 def strict(text: Column, type_name: str) -> Column:
