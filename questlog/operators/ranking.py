@@ -64,11 +64,15 @@ def running_counts(
         _sum_before("_n", group, ["_high"]).alias("_before_high"),
         F.sum("_n").over(Window.partitionBy(*group)).alias("total"),
     )
+    # A window leaves its output placed by fewer columns than the join has, and
+    # the join would take that over: place by all of them, or one leading digit
+    # or one group could gather most rows in a task.
+    high = high.repartition(*group, "_high")
+    mid = mid.drop("_n").join(high, [*group, "_high"])
+    mid = mid.repartition(*group, "_high", "_mid")
     before = F.col("_before_high") + F.col("_before_mid") + F.col("_before_low")
-    return (
-        low.join(mid.drop("_n"), [*group, "_high", "_mid"])
-        .join(high, [*group, "_high"])
-        .select(*histogram.columns, before.alias("before"), "total")
+    return low.join(mid, [*group, "_high", "_mid"]).select(
+        *histogram.columns, before.alias("before"), "total"
     )
 
 

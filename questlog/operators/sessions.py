@@ -6,15 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.functions import exact_sum, minute_floor, minute_index, second_diff
+from questlog.operators.ranking import running_counts
+from questlog.session import materialise
 
 # Fixed value: minute boundaries without an event that end a session.
 GAP_MINUTES = 30
 
 ATTRIBUTES = ["platform", "country", "app_version"]
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
-# A run of identical rows is expanded in steps, so no array exceeds this length.
-_EXPAND_STEP = 100_000
-
 SESSION_COLUMNS = [
     "session_id",
     "userid",
@@ -30,46 +29,27 @@ SESSION_COLUMNS = [
 ]
 
 
+def _is_purchase() -> Column:
+    return F.coalesce((F.col("event_name") == "purchase").cast("bigint"), F.lit(0))
+
+
 def minute_rollup(events: DataFrame) -> DataFrame:
     """Events summed per user, minute and attributes.
 
     The gap rule only sees minutes, so all events of one user and minute share
     a session. Summing them first (map-side, fixed-width buffers) leaves at
     most one row per minute and attribute set of a user, however many events
-    that user sent. Events without a time each form a session of their own;
-    equal ones are counted in ``copies`` and expanded after the sessions exist.
+    that user sent.
     """
-    untimed = F.col("event_time").isNull()
-    is_purchase = (F.col("event_name") == "purchase").cast("bigint")
-    return (
-        events.select(
-            "userid",
-            minute_index(F.col("event_time")).alias("minute"),
-            *ATTRIBUTES,
-            F.when(untimed, F.col("rounds_completed")).alias("lone_rounds"),
-            F.when(untimed, F.col("revenue_usd")).alias("lone_revenue"),
-            F.when(untimed, F.coalesce(is_purchase, F.lit(0))).alias("lone_purchase"),
-            "event_time",
-            "rounds_completed",
-            "revenue_usd",
-            F.coalesce(is_purchase, F.lit(0)).alias("purchases"),
-        )
-        .groupBy(
-            "userid",
-            "minute",
-            *ATTRIBUTES,
-            "lone_rounds",
-            "lone_revenue",
-            "lone_purchase",
-        )
-        .agg(
-            F.count("*").alias("copies"),
-            F.min("event_time").alias("first_time"),
-            F.max("event_time").alias("last_time"),
-            F.sum("rounds_completed").alias("rounds"),
-            exact_sum(F.col("revenue_usd")).alias("revenue"),
-            F.sum("purchases").alias("purchases"),
-        )
+    return events.groupBy(
+        "userid", minute_index(F.col("event_time")).alias("minute"), *ATTRIBUTES
+    ).agg(
+        F.count("*").alias("events"),
+        F.min("event_time").alias("first_time"),
+        F.max("event_time").alias("last_time"),
+        F.sum("rounds_completed").alias("rounds"),
+        exact_sum(F.col("revenue_usd")).alias("revenue"),
+        F.sum(_is_purchase()).alias("purchases"),
     )
 
 
@@ -104,76 +84,89 @@ def finish(sessions: DataFrame) -> DataFrame:
     )
 
 
-def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """One row per session, numbered per user in time order.
+def _timed_sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
+    """Sessions of events with a time, numbered ``seq`` per user from 1.
 
     Two shuffles: the minute rollup (after map-side sums) and the users. The
     numbering and the session sums share the second one.
     """
-    minutes = minute_rollup(events)
-    untimed = F.col("minute").isNull()
-    payload = [*ATTRIBUTES, "lone_rounds", "lone_revenue", "lone_purchase"]
-    in_order = Window.partitionBy("userid").orderBy(
-        *[F.col(c).asc_nulls_last() for c in ["minute", *payload]]
-    )
+    in_order = Window.partitionBy("userid").orderBy("minute")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # Only a user's first event without a time continues the session before it.
-    previous = F.lag("minute").over(in_order)
-    starts = (
-        F.when(previous.isNull(), F.when(untimed, F.col("copies")).otherwise(1))
-        .when(untimed, F.col("copies") - 1)
-        .otherwise((F.col("minute") - previous > gap_minutes).cast("bigint"))
-    )
-    numbered = minutes.withColumn("starts", starts.cast("bigint")).withColumn(
-        "last_seq", F.sum("starts").over(so_far)
+    silence = F.col("minute") - F.lag("minute").over(in_order)
+    starts = F.when(silence <= gap_minutes, 0).otherwise(1)
+    return (
+        minute_rollup(events)
+        .withColumn("starts", starts)
+        .withColumn("seq", F.sum("starts").over(so_far))
+        .groupBy("userid", "seq")
+        .agg(*measures())
     )
 
-    # (number, how many sessions from that number on) of each rollup row
-    one = F.lit(1).cast("bigint")
-    lead = F.struct(F.col("last_seq").alias("seq"), one.alias("repeat"))
-    joined = F.struct(
-        (F.col("last_seq") - F.col("starts")).alias("seq"), one.alias("repeat")
-    )
-    own = F.struct(
-        (F.col("last_seq") - F.col("starts") + 1).alias("seq"),
-        F.col("starts").alias("repeat"),
-    )
-    places = (
-        F.when(~untimed, F.array(lead))
-        .when(F.col("starts") == F.col("copies"), F.array(own))
-        .when(F.col("starts") == 0, F.array(joined))
-        .otherwise(F.array(joined, own))
-    )
 
-    def per_copy(total: str, single: str) -> Column:
-        return F.when(untimed, F.col(single)).otherwise(F.col(total)).alias(total)
+def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
+    """Events without a time come last: a user's first one belongs to the user's
+    last session, every other one is a session of its own.
 
-    placed = numbered.select(
+    First is by the hash of the event id, whose digits spread even a single
+    user's events over many tasks when their places are counted. The number of
+    the last session is counted along, as the weight of a row put in front.
+    """
+    # Text instead of a number, as a missing user id must meet itself in joins.
+    user = F.coalesce(F.col("userid").cast("string"), F.lit("")).alias("user")
+    time = F.lit(None).cast("timestamp_ntz")
+    rows = untimed.select(
+        user,
         "userid",
-        F.explode(places).alias("place"),
+        F.xxhash64("event_id").alias("place"),
+        F.lit(1).alias("is_event"),
+        "event_id",
+        F.lit(1).cast("bigint").alias("events"),
+        time.alias("first_time"),
+        time.alias("last_time"),
+        F.col("rounds_completed").cast("bigint").alias("rounds"),
+        F.col("revenue_usd").alias("revenue"),
+        _is_purchase().alias("purchases"),
         *ATTRIBUTES,
-        "first_time",
-        "last_time",
-        F.when(untimed, one).otherwise(F.col("copies")).alias("events"),
-        per_copy("rounds", "lone_rounds"),
-        per_copy("revenue", "lone_revenue"),
-        per_copy("purchases", "lone_purchase"),
-    ).select("*", "place.seq", "place.repeat")
-
-    rolled = placed.groupBy("userid", "seq", "repeat").agg(*measures())
-    step = F.lit(_EXPAND_STEP)
-    last = F.col("repeat") - 1
-    expanded = rolled.withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), last, step.cast("bigint")))
-    ).withColumn(
-        "offset", F.explode(F.sequence("block", F.least(F.col("block") + step - 1, last)))
     )
-    session_seq = (F.col("seq") + F.col("offset")).cast("string")
-    session_id = F.concat(F.col("userid").cast("string"), F.lit("-"), session_seq)
-    return finish(expanded.withColumn("session_id", session_id)).select(
-        *SESSION_COLUMNS
+    earlier = timed.groupBy(user).agg((F.max("seq") - 1).alias("events"))
+    earlier = earlier.withColumns(
+        {"place": F.lit(-(2**63)).cast("bigint"), "is_event": F.lit(0)}
     )
+    placed = running_counts(
+        rows.unionByName(earlier, allowMissingColumns=True),
+        "place",
+        "events",
+        ("user",),
+        ("is_event", "event_id"),
+    )
+    numbered = placed.where("is_event = 1").withColumn("seq", F.col("before") + 1)
+    names = {
+        "events": "event_count",
+        "first_time": "session_start",
+        "last_time": "session_end",
+        "rounds": "rounds_played",
+        "revenue": "revenue_usd",
+        "purchases": "purchase_count",
+    }
+    columns = ["userid", "seq", *names, *ATTRIBUTES]
+    as_parts = timed.withColumnsRenamed({new: old for old, new in names.items()})
+    parts = as_parts.select(*columns).unionByName(numbered.select(*columns))
+    return parts.groupBy("userid", "seq").agg(*measures())
+
+
+def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """One row per session, numbered per user in time order.
+
+    ``events`` has one row per event id and should be a stored table: it is
+    looked through once for events without a time, which need further steps.
+    """
+    untimed = events.where(F.col("event_time").isNull())
+    timed = _timed_sessions(events.where(F.col("event_time").isNotNull()), gap_minutes)
+    if untimed.agg(F.count("*")).first()[0]:
+        timed = _add_untimed(materialise(timed, "timed-sessions"), untimed)
+    session_id = F.concat_ws("-", "userid", "seq")
+    session_id = F.when(F.col("userid").isNotNull(), session_id)
+    return finish(timed.withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
 
 
 def sessions_by_session_window(
@@ -184,8 +177,7 @@ def sessions_by_session_window(
     Time is cut to minutes first: then "more than 30 boundaries" equals the
     30-minute gap of the built-in window. Rows without a time have no window.
     """
-    timed = events.where(F.col("event_time").isNotNull())
-    minutes = minute_rollup(timed).withColumnRenamed("copies", "events")
+    minutes = minute_rollup(events.where(F.col("event_time").isNotNull()))
     window = F.session_window(
         minute_floor(F.col("first_time")), f"{gap_minutes} minutes"
     )

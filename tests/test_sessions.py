@@ -134,12 +134,6 @@ def test_first_untimed_event_joins_the_last_session(spark):
     assert {r["session_id"] for r in out} == {f"1-{n}" for n in range(1, 251)}
 
 
-def test_long_runs_of_equal_untimed_events(spark, monkeypatch):
-    monkeypatch.setattr("questlog.operators.sessions._EXPAND_STEP", 7)
-    out = sessions(clean_events(spark, [{"event_time": None}] * 50)).collect()
-    assert {r["session_id"] for r in out} == {f"1-{n}" for n in range(1, 51)}
-
-
 def test_session_window_gives_the_same_sessions(spark):
     rnd = random.Random(4)
     rows = [
