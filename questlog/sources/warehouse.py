@@ -59,7 +59,8 @@ class Warehouse:
     def publish(self) -> None:
         """Register the tables, so ``SELECT * FROM gold.mart_...`` works."""
         for layer, tables in TABLES.items():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            folder = self.path(layer)
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{folder}'")
             for name in tables:
                 table = f"{layer}.{name}"
                 self.spark.sql(f"DROP TABLE IF EXISTS {table}")
