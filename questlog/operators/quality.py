@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,15 +22,19 @@ def _detail(**parts: Column) -> Column:
 
 
 def _compare_counts(
-    check: str, left: tuple[str, DataFrame], right: tuple[str, DataFrame], passed
+    check: str,
+    left: tuple[str, DataFrame],
+    right: tuple[str, DataFrame],
+    passed: Callable[[Column, Column], Column],
 ) -> DataFrame:
     (left_name, left_df), (right_name, right_df) = left, right
-    counts = _count(left_df, "l").withColumn("r", _count(right_df, "r").scalar())
-    l, r = F.col("l"), F.col("r")
+    right_count = _count(right_df, right_name).scalar()
+    counts = _count(left_df, left_name).withColumn(right_name, right_count)
+    values = {name: F.col(name) for name in (left_name, right_name)}
     return counts.select(
         F.lit(check).alias("check_name"),
-        passed(l, r).alias("passed"),
-        _detail(**{left_name: l, right_name: r}),
+        passed(*values.values()).alias("passed"),
+        _detail(**values),
     )
 
 
@@ -91,13 +96,13 @@ def quality_checks(
             "assigned_users_preserved",
             ("assignments", raw_assignments),
             ("users", users),
-            lambda l, r: l == r,
+            lambda assignments, users: assignments == users,
         ),
         _compare_counts(
             "dedup_removed_rows",
             ("raw", raw_events),
             ("clean", events),
-            lambda l, r: l > r,
+            lambda raw, clean: raw > clean,
         ),
         _none_left(
             "event_ids_unique",

@@ -14,6 +14,7 @@ GAP_MINUTES = 30
 
 ATTRIBUTES = ["platform", "country", "app_version"]
 _FAR_FUTURE = "9999-12-31 23:59:59.999999"
+
 SESSION_COLUMNS = [
     "session_id",
     "userid",
