@@ -9,6 +9,13 @@ from questlog.operators import engagement, ranking
 SCHEMA = "v bigint, u bigint, a string"
 
 
+@pytest.fixture(params=["window", "digits"])
+def way(request, monkeypatch):
+    """Both ways to order: by a plain window, by running counts of digits."""
+    if request.param == "digits":
+        monkeypatch.setattr(ranking, "_WINDOW_ROWS", 0)
+
+
 def _expected(rows, tiles):
     """Tiles and ranks by position in the sorted list."""
     ordered = sorted(
@@ -41,12 +48,12 @@ def _tiled(spark, rows, tiles=4):
         [(2**62, -3, "z"), (-(2**62), 7, "q"), (-(2**62), 7, "q"), (-1, 0, "q")],
     ],
 )
-def test_small_cases(spark, rows):
+def test_small_cases(spark, way, rows):
     assert _tiled(spark, rows) == _expected(rows, 4)
 
 
 @pytest.mark.parametrize("seed,tiles", [(1, 4), (2, 3), (3, 7)])
-def test_random_cases(spark, seed, tiles, monkeypatch):
+def test_random_cases(spark, way, seed, tiles, monkeypatch):
     monkeypatch.setattr(ranking, "_EXPAND_STEP", 5)
     rnd = random.Random(seed)
     rows = [
@@ -93,10 +100,18 @@ def test_ranked_rows_are_not_shuffled_by_value(spark):
     for df in (engagement.top_players(users), engagement.engagement_percentile(users)):
         assert "BroadcastHashJoin" in _physical(df)
         assert "Exchange hashpartitioning" not in _physical(df)
-    assert "SinglePartition" not in _physical(engagement.engagement_segments(users))
 
 
-def test_large_histograms_join_by_shuffle(spark):
+def test_no_single_task_beyond_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_WINDOW_ROWS", 2)
+    users = spark.createDataFrame([(i % 3, i, "x") for i in range(30)], SCHEMA)
+    lines = _physical(ranking.with_tiles(users, "v", "u", 4)).splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:
+            assert "HashAggregate(keys=[v#" in lines[i + 1] and "_high" in lines[i + 1]
+
+
+def test_large_histograms_join_by_shuffle(spark, way):
     rows = [(i % 50, i, "x") for i in range(500)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from questlog.operators import ranking
@@ -60,7 +61,9 @@ def test_user_id_on_a_third_of_the_assignments(spark, tmp_path):
     assert "skew=true" in plan
 
 
-def test_value_on_a_third_of_the_ranked_rows(spark, tmp_path):
+@pytest.mark.parametrize("limit", [0, 2**20])
+def test_value_on_a_third_of_the_ranked_rows(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(ranking, "_WINDOW_ROWS", limit)
     path = str(tmp_path / "users")
     value = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
     spark.range(0, 60000, 1, 8).select(
