@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 
 # Fixed value: white space of the Unicode property White_Space.
-WHITE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
+CODES = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WHITE = "".join(map(chr, CODES))
 #: White space with the text after it. A byte-level pre-token holds white space at its
 #: start only, so each such part splits into pre-tokens as it does in its text.
 PARTS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
