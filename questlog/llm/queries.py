@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import simhash, token_counts, url_filters
+from questlog.llm import codec, packing, simhash, token_counts, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -19,6 +21,7 @@ SITE_RULES = [
 # Words that block a URL to which no site rule applies.
 BLOCKED_WORDS = ["ads", "banner", "casino", "gambling", "porn", "torrent", "viagra", "xxx"]
 TOKEN_LIMIT = 1024
+SEQUENCE_TOKENS = 2048
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +38,19 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digests(ids, joined, decoded):
+        return hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
+    return codec.encode(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        finish=digests,
+        finished="ids_sha256 string, decoded_sha256 string",
+    )
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filters.site_rule(*r) for r in SITE_RULES] + [url_filters.word_rule("block", w) for w in BLOCKED_WORDS]
     judged = url_filters.url_verdicts(_table(spark, sf_dir, "pages"), rules, default="allow")
@@ -42,10 +58,16 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
+    "op4_codec": op4_codec,
     "op5_url_filters": op5_url_filters,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL = {
