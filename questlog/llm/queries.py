@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, packing, simhash, token_counts, url_filters
+from questlog.llm import codec, packing, simhash, token_counts, topk, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -58,6 +58,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_codec": op4_codec,
     "op5_url_filters": op5_url_filters,
+    "op7_topk": op7_topk,
     "op8_packing": op8_packing,
 }
 
@@ -95,6 +100,18 @@ ORACLE_SQL = {
         FROM fits
     """,
 }
+ORACLE_SQL["op7_topk"] = """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5
+"""
 ORACLE_SQL["op5_url_filters"] = ORACLE_SQL["op5_url_filters"].replace(
     "lower_az(coalesce(url, ''))", "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ).replace(
