@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, packing, simhash, token_counts, topk, url_filters
+from questlog.llm import codec, packing, simhash, token_counts, topk, toxicity, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -58,6 +58,15 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", rule.alias("rule"), "verdict")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.toxicity_score(model, F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -71,6 +80,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_codec": op4_codec,
     "op5_url_filters": op5_url_filters,
+    "op6_toxicity": op6_toxicity,
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
 }
