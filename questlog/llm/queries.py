@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, packing, simhash, token_counts, topk, toxicity, url_filters
+from questlog.llm import codec, fingerprints, packing, simhash, token_counts, topk, toxicity, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -75,6 +75,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_token_counts": op3_token_counts,
@@ -83,6 +87,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 ORACLE_SQL = {
