@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
 
+from questlog.llm.blocks import blocks
 from questlog.llm.pretokens import PARTS, Kept
 
 #: Bytes of text after which a block of rows is closed; one block is one task's memory.
@@ -38,40 +38,7 @@ def token_table(rank_file: str) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[int, list, list[str]]]:
-    """Consecutive rows as (key, ids, texts), about ``block_bytes`` each.
-
-    The key is a hash of the block's place and text, so rows made from another
-    reading of the input meet only if both readings gave the same block.
-    """
-    from pyspark import TaskContext
-
-    place, numbers = TaskContext.get().partitionId(), count()
-    ids: list = []
-    texts: list[str] = []
-    size, digest = 0, xxhash.xxh64()
-
-    def key() -> int:
-        digest.update(f"{place}/{next(numbers)}/{len(texts)}".encode())
-        return int(np.uint64(digest.intdigest()).view(np.int64))
-
-    for batch in batches:
-        for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = value.as_py() or ""
-            raw = text.encode()
-            ids.append(row)
-            texts.append(text)
-            digest.update(raw)
-            digest.update(len(raw).to_bytes(8, "little"))
-            size += len(raw) + 64
-            if size >= block_bytes:
-                yield key(), ids, texts
-                ids, texts, size, digest = [], [], 0, xxhash.xxh64()
-    if ids:
-        yield key(), ids, texts
-
-
-def _indexed(texts: list[str], pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _indexed(texts: list[bytes], pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pre-tokens, and for each text their places in that list, end to end with lengths."""
     words: dict[str, int] = {}
     find = pattern.findall
@@ -81,7 +48,7 @@ def _indexed(texts: list[str], pattern) -> tuple[list[str], np.ndarray, np.ndarr
 
     kept, places, sizes = Kept(place), [], []
     for text in texts:
-        own = np.fromiter(chain.from_iterable(map(kept.__getitem__, PARTS.findall(text))), dtype=np.uint32)
+        own = np.fromiter(chain.from_iterable(map(kept.__getitem__, PARTS.findall(text.decode()))), dtype=np.uint32)
         places.append(own)
         sizes.append(len(own))
     return list(words), np.concatenate(places), np.array(sizes, dtype=np.int64)
@@ -107,7 +74,7 @@ def encode(
     decimal ids joined by spaces, and the decoded bytes.
     """
     kind, id_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
     finish = finish or (lambda ids, joined, decoded: (ids.tolist(), decoded))
 
     def compiled():
@@ -116,7 +83,7 @@ def encode(
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct pre-tokens of each block with their places."""
         find = compiled()
-        for key, _, texts in _blocks(batches, block_bytes):
+        for key, _, texts in blocks(batches, block_bytes):
             words, _, _ = _indexed(texts, find)
             for at in range(0, len(words), 50_000):
                 part = words[at : at + 50_000]
@@ -128,7 +95,7 @@ def encode(
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each block's rows with the places of their pre-tokens, in order."""
         find, press = compiled(), zstandard.ZstdCompressor(level=3)
-        for key, ids, texts in _blocks(batches, block_bytes):
+        for key, ids, texts in blocks(batches, block_bytes):
             words, places, sizes = _indexed(texts, find)
             # low and high bytes apart compress better
             planes = np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -180,6 +147,6 @@ def encode(
     uses = words.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("uses"))
     coded = uses.mapInArrow(encode_words, "codes array<int>, uses array<struct<block: long, place: int>>")
     back = coded.select("codes", F.explode("uses").alias("use")).select("use.block", "use.place", "codes")
-    blocks = source.mapInArrow(positions, f"block long, ids array<{kind}>, sizes array<long>, words int, places binary")
-    out = blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(reassemble, out_ddl)
+    placed = source.mapInArrow(positions, f"block long, ids array<{kind}>, sizes array<long>, words int, places binary")
+    out = placed.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(reassemble, out_ddl)
     return out.withColumnRenamed("id", id_col)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, fingerprints, packing, simhash, token_counts, topk, toxicity, url_filters
+from questlog.llm import codec, fingerprints, packing, phrases, simhash, token_counts, topk, toxicity, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -33,6 +33,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = phrases.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -81,6 +86,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_phrases": op2_phrases,
     "op3_token_counts": op3_token_counts,
     "op4_codec": op4_codec,
     "op5_url_filters": op5_url_filters,
