@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, fingerprints, packing, phrases, simhash, token_counts, topk, toxicity, url_filters
+from questlog.llm import codec, fingerprints, packing, phrases, simhash, substrings, token_counts, topk, toxicity, url_filters
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -84,6 +84,11 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_phrases": op2_phrases,
@@ -94,6 +99,7 @@ QUERIES = {
     "op7_topk": op7_topk,
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLE_SQL = {
