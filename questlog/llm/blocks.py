@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark.sql.types import ArrayType, DataType, LongType, StructType
 
 #: Bits of an anchor's key that hold its place in the block.
 PLACE_BITS = 32
@@ -57,6 +58,11 @@ def pack_texts(batches: Iterator[pa.RecordBatch], block_bytes: int, id_type: pa.
         yield pa.record_batch(columns, ["block", "ids", "sizes", "texts"])
 
 
+def packed_schema(id_kind: DataType) -> StructType:
+    """Columns of the rows that ``pack_texts`` makes."""
+    return StructType().add("block", "long").add("ids", ArrayType(id_kind)).add("sizes", ArrayType(LongType())).add("texts", "binary")
+
+
 def unpack_texts(row: dict) -> list[bytes]:
     """The texts of a row that ``pack_texts`` made."""
     whole, ends = zstandard.ZstdDecompressor().decompress(row["texts"]), np.cumsum(row["sizes"]).tolist()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, unpack_texts
+from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, packed_schema, unpack_texts
 
 #: Bytes of text in a block; its automaton and arrays are one task's memory.
 BLOCK_BYTES = 4 << 20
@@ -150,7 +150,7 @@ def remove_repeats(
         )
 
     found = source.mapInArrow(count_phrases, "phrase long, block long, place int, n int")
-    packed = source.mapInArrow(lambda b: pack_texts(b, block_bytes, id_type), f"block long, ids array<{kind}>, sizes array<long>, texts binary")
+    packed = source.mapInArrow(lambda b: pack_texts(b, block_bytes, id_type), packed_schema(docs.schema[id_col].dataType))
 
     def per_block(rows: DataFrame, work, made: str) -> DataFrame:
         return packed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(work, made)

@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from questlog.llm.graph import components
 from questlog.session import materialise
@@ -57,9 +58,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t.as_py() or b"", shingle) for t in texts], dtype=np.uint64)
             yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp long")
-    return out.withColumnRenamed("id", id_col)
+    made = StructType([StructField("id", docs.schema[id_col].dataType)]).add("fp", "long")
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, made).withColumnRenamed("id", id_col)
 
 
 @dataclass
@@ -248,6 +248,14 @@ def _first_leaf(node: Node) -> int:
     return node.leaf
 
 
+def groups(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, root) for every distinct ``fp`` of ``prints``; equal roots are linked within ``distance`` bits."""
+    classes = materialise(prints.select("fp").distinct(), "classes")
+    roots = components(links(classes, distance))
+    joined = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return materialise(joined.select("fp", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4
 ) -> DataFrame:
@@ -260,16 +268,32 @@ def near_duplicates(
     component has none; repeated rows stay. Other columns are not read.
     """
     prints = materialise(fingerprints(docs, id_col, text_col, shingle).withColumnRenamed(id_col, "id"), "prints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), distance))
-    rooted = materialise(
-        classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "least", F.coalesce("root", "fp").alias("root")),
-        "rooted",
-    )
-    names = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    named = materialise(rooted.join(names, "root").select("fp", "component_id"), "named")
+    rooted = groups(prints, distance)
+    least = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")), "least")
+    names = rooted.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialise(rooted.join(materialise(names, "names"), "root").select("fp", "component_id"), "named")
     joined = prints.join(named, "fp")
     return joined.select(
         F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4
+) -> DataFrame:
+    """One row, with all its columns, of each group of near duplicates.
+
+    That of the smallest id, null ids last; among equal ids that of the least
+    hash of its columns, and one of rows that are equal in all. Null and empty
+    texts are one group. Columns may be of any type that can be hashed.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), one.alias("one"), two.alias("two")).alias("key"), F.col(text_col).alias("text"))
+    prints = materialise(fingerprints(keyed, "key", "text", shingle), "prints")
+    rooted = groups(prints, distance)
+    best = prints.groupBy("fp").agg(F.min(F.struct(F.col("key.id").isNull(), "key.id", "key.one", "key.two")).alias("best"))
+    best = rooted.join(materialise(best, "best"), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    kept = materialise(best.select(F.col("best.one").alias("_one"), F.col("best.two").alias("_two")).distinct(), "kept")
+    marked = docs.withColumns({"_one": one, "_two": two}).join(kept, ["_one", "_two"], "left_semi")
+    return marked.dropDuplicates(["_one", "_two"]).select(columns)

@@ -10,8 +10,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
-from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, unpack_texts
+from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, packed_schema, unpack_texts
 from questlog.llm.lyndon import neighbour_matches, suffix_array
 from questlog.session import materialise
 
@@ -139,7 +140,8 @@ def remove_repeats(
     ids stay. The input is read several times and must give the same rows in
     the same order, as stored tables do; otherwise the job fails.
     """
-    kind, id_type = docs.schema[id_col].dataType.simpleString(), to_arrow_type(docs.schema[id_col].dataType)
+    kind = docs.schema[id_col].dataType
+    id_type = to_arrow_type(kind)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,9 +179,9 @@ def remove_repeats(
             }
         )
 
-    packed = source.mapInArrow(lambda b: pack_texts(b, block_bytes, id_type), f"block long, ids array<{kind}>, sizes array<long>, texts binary")
+    packed = source.mapInArrow(lambda b: pack_texts(b, block_bytes, id_type), packed_schema(kind))
 
-    def per_block(rows: DataFrame, work, made: str) -> DataFrame:
+    def per_block(rows: DataFrame, work, made: str | StructType) -> DataFrame:
         return packed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(work, made)
 
     found = source.mapInArrow(count_anchors, "gram long, block long, place long, n long")
@@ -261,5 +263,6 @@ def remove_repeats(
     ends = passages.join(repeated, ["one", "two"]).select(
         "block", (F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("last")).alias("last")
     )
-    out = per_block(ends, drop, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    made = StructType([StructField("id", kind)]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+    out = per_block(ends, drop, made.add("kept", "binary"))
     return out.withColumnRenamed("id", id_col)
