@@ -16,23 +16,20 @@ def _whole(text: Column, type_name: str) -> Column:
 
 
 def lenient_double(text: Column) -> Column:
-    """Text to double; junk is NULL. Java's '1d' / '1f' suffixes count as junk."""
+    """Text to double; junk is NULL. Java's '1d' / '1f' suffixes and hexadecimal count as junk."""
     trimmed = F.lower(F.rtrim(text))
     suffixed = trimmed.endswith("d") | (
         trimmed.endswith("f") & ~trimmed.endswith("inf")
     )
-    return F.when(~suffixed, text.try_cast("double"))
+    return F.when(~suffixed & ~trimmed.contains("x"), text.try_cast("double"))
 
 
 def lenient_int(text: Column) -> Column:
     """Text to int; '3.0' is 3, '2.5' is 3, '1e2' is 100, junk and overflow are NULL.
 
-    Every int is exact as a double, and the cast back cuts towards zero: adding
-    a half away from zero first rounds. NaN and what is out of range give NULL.
+    Rounds half away from zero. NaN and what is out of range give NULL.
     """
-    number = lenient_double(text)
-    half = F.when(number < 0, -0.5).otherwise(0.5)
-    return (number + half).try_cast("int")
+    return F.round(lenient_double(text), 0).try_cast("int")
 
 
 def strict(text: Column, type_name: str) -> Column:
@@ -42,6 +39,11 @@ def strict(text: Column, type_name: str) -> Column:
     """
     if type_name in ("int", "bigint"):
         value = _whole(text, type_name)
+    elif type_name.startswith("timestamp"):
+        # a year or a month alone is no time
+        value = F.when(text.rlike(r"^\s*[+-]?\d+-\d+-\d"), text.try_cast(type_name))
+    elif type_name == "boolean":
+        value = F.when(text == F.trim(text), text.try_cast(type_name))
     else:
         value = text.try_cast(type_name)
     failure = F.raise_error(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.functions import exact_sum, ratio, round_half_away
@@ -42,13 +42,19 @@ def engagement_segments(users: DataFrame) -> DataFrame:
 def top_players(users: DataFrame, places: int = 20) -> DataFrame:
     """Users ranked among the first ``places``; ties share a rank.
 
-    The ranks needed come from the histogram of rounds alone.
+    The last place's rounds are found by a distributed top-k; nobody below
+    takes part further, and those left have at most ``places`` different rounds.
     """
-    ranks = ranking.value_positions(users.select(_ROUNDS), _ROUNDS).select(
-        _ROUNDS, ranking.rank_descending().alias("engagement_rank")
+    best = users.select(_ROUNDS).orderBy(F.desc_nulls_last(_ROUNDS)).limit(places)
+    last = best.agg(F.min(_ROUNDS)).first()[0]
+    leading = users.select(*_USER).where(F.col(_ROUNDS) >= F.lit(last).cast("bigint"))
+    counts = leading.groupBy(_ROUNDS).agg(F.count("*").alias("n"))
+    order = Window.orderBy(F.desc(_ROUNDS)).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = counts.select(
+        _ROUNDS, (F.coalesce(F.sum("n").over(order), F.lit(0)) + 1).alias("engagement_rank")
     )
-    leading = ranks.where(F.col("engagement_rank") <= places)
-    return users.select(*_USER).join(leading, _ROUNDS).select(*_USER, "engagement_rank")
+    ranks = F.broadcast(ranks.where(F.col("engagement_rank") <= places))
+    return leading.join(ranks, _ROUNDS).select(*_USER, "engagement_rank")
 
 
 def engagement_percentile(users: DataFrame) -> DataFrame:

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlog.functions import day_diff, ratio, round_half_away, strict
+from questlog.functions import day_diff, ratio, round_half_away
 from questlog.sources.landing_csv import EVENT_COLUMNS, drop_date
 
 
 def late_arrival_profile(raw: DataFrame) -> DataFrame:
-    """Delivered rows per drop date and days between the event and its drop."""
-    event_date = strict(F.col("client_event_time"), "timestamp_ntz").cast("date")
+    """Delivered rows per drop date and days between the event and its drop.
+
+    A missing or unreadable time, which a profile must survive, counts under NULL days.
+    """
+    event_date = F.col("client_event_time").try_cast("timestamp_ntz").cast("date")
     return (
         raw.select(drop_date().alias("drop_date"), event_date.alias("event_date"))
         .withColumn("days_late", day_diff(F.col("event_date"), F.col("drop_date")))

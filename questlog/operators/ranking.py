@@ -1,7 +1,7 @@
 """Global rank, percentile and tiles without a whole-table window.
 
 Everything starts from a histogram of the ranked value, which map-side counting
-makes small. Running totals over a histogram of more than 2^20 values are taken
+makes small. Running totals over it are taken
 digit by digit (22, 21 and 21 bits of the value), so no window ever holds more
 than 2^22 rows whatever the number of distinct values.
 """
@@ -15,8 +15,6 @@ from questlog.session import materialise
 
 _DIGIT_BITS = 21
 _DIGIT_MASK = 2**_DIGIT_BITS - 1
-# Up to this many rows, counted before, go through a plain window in one task.
-_WINDOW_ROWS = 2**20
 # A run of identical rows is expanded in steps, so no array exceeds this length.
 _EXPAND_STEP = 100_000
 
@@ -87,12 +85,7 @@ def value_positions(df: DataFrame, value: str) -> DataFrame:
     """
     histogram = df.groupBy(value).agg(F.count("*").alias("n"))
     histogram = materialise(histogram, "histogram")
-    if histogram.count() > _WINDOW_ROWS:
-        return materialise(running_counts(histogram, value, "n"), "positions")
-    total = F.sum("n").over(Window.partitionBy())
-    return histogram.withColumns(
-        {"before": _sum_before("n", [], [value]), "total": total}
-    )
+    return materialise(running_counts(histogram, value, "n"), "positions")
 
 
 def rank_descending() -> Column:
@@ -130,7 +123,7 @@ def with_tiles(
     Ties in ``value`` go by ``tie`` (a bigint), then by the other columns. Where
     all rows of a value fall into one tile - all but at most ``tiles - 1``
     values - the value decides. Only rows of a value cut by a tile border are
-    ordered further, many of them by digit-wise running counts. ``single``
+    ordered further, by digit-wise running counts. ``single``
     marks values whose tile does not matter; their rows are never ordered
     (tile NULL if cut).
     """
@@ -149,17 +142,8 @@ def with_tiles(
         *df.columns, "rank", F.when(~cut, F.col("first_tile")).alias("tile")
     )
     # Each border cuts one value: at most tiles - 1 rows to broadcast.
-    cut_values = positions.where(ordered)
-    cut_rows = cut_values.agg(F.sum("n")).first()[0] or 0
-    rows = df.join(F.broadcast(cut_values), value)
-    if cut_rows > _WINDOW_ROWS:
-        in_order = _tiles_of_cut_values(rows, df.columns, value, tie, tiles)
-    else:
-        others = [c for c in df.columns if c not in (value, tie)]
-        order = [F.col(c).asc_nulls_last() for c in (tie, *others)]
-        place = F.row_number().over(Window.partitionBy(value).orderBy(*order))
-        in_order = rows.withColumn("place", F.col("value_before") + place - 1)
-        in_order = in_order.withColumn("tile", tile_at("place", "total", tiles))
+    rows = df.join(F.broadcast(positions.where(ordered)), value)
+    in_order = _tiles_of_cut_values(rows, df.columns, value, tie, tiles)
     return whole.unionByName(in_order.select(*df.columns, "rank", "tile"))
 
 

@@ -35,32 +35,37 @@ def _is_purchase() -> Column:
 
 
 def minute_rollup(events: DataFrame) -> DataFrame:
-    """Events summed per user, minute and attributes.
+    """Events summed per user and minute.
 
     The gap rule only sees minutes, so all events of one user and minute share
-    a session. Summing them first (map-side, fixed-width buffers) leaves at
-    most one row per minute and attribute set of a user, however many events
-    that user sent.
+    a session. Summing them first, in each map task and then per minute, leaves
+    at most one row per minute of a user, or of the events without a user,
+    however many there are and whatever their attributes.
     """
-    return events.groupBy(
-        "userid", minute_index(F.col("event_time")).alias("minute"), *ATTRIBUTES
-    ).agg(
+    minute = minute_index(F.col("event_time")).alias("minute")
+    return events.groupBy("userid", minute).agg(
         F.count("*").alias("events"),
         F.min("event_time").alias("first_time"),
         F.max("event_time").alias("last_time"),
         F.sum("rounds_completed").alias("rounds"),
         exact_sum(F.col("revenue_usd")).alias("revenue"),
         F.sum(_is_purchase()).alias("purchases"),
+        *[F.min(dated(a, "event_time")).alias(a) for a in ATTRIBUTES],
     )
 
 
-def _earliest(attribute: str) -> Column:
-    """Non-NULL value of the earliest event carrying one, smallest on a tie."""
-    time = F.coalesce("first_time", F.lit(_FAR_FUTURE).cast("timestamp_ntz"))
-    known = F.when(
-        F.col(attribute).isNotNull(), F.struct(time.alias("at"), F.col(attribute))
+def dated(attribute: str, time: str) -> Column:
+    """An attribute with the time it was seen; NULL without a value."""
+    at = F.coalesce(time, F.lit(_FAR_FUTURE).cast("timestamp_ntz"))
+    return F.when(
+        F.col(attribute).isNotNull(),
+        F.struct(at.alias("at"), F.col(attribute).alias("value")),
     )
-    return F.min(known)[attribute].alias(attribute)
+
+
+def _earliest(attribute: str) -> Column:
+    """Value of the earliest event carrying one, smallest on a tie."""
+    return F.min(attribute)["value"].alias(attribute)
 
 
 def measures() -> list[Column]:
@@ -108,7 +113,7 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
     """Events without a time come last: a user's first one belongs to the user's
     last session, every other one is a session of its own.
 
-    First is by the hash of the event id, whose digits spread even a single
+    First is by a hash of the event id, whose digits spread even a single
     user's events over many tasks when their places are counted. The number of
     the last session is counted along, as the weight of a row put in front.
     """
@@ -118,7 +123,7 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
     rows = untimed.select(
         user,
         "userid",
-        F.xxhash64("event_id").alias("place"),
+        F.conv(F.substring(F.md5("event_id"), 1, 15), 16, 10).cast("bigint").alias("place"),
         F.lit(1).alias("is_event"),
         "event_id",
         F.lit(1).cast("bigint").alias("events"),
@@ -127,7 +132,7 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
         F.col("rounds_completed").cast("bigint").alias("rounds"),
         F.col("revenue_usd").alias("revenue"),
         _is_purchase().alias("purchases"),
-        *ATTRIBUTES,
+        *[dated(a, "event_time").alias(a) for a in ATTRIBUTES],
     )
     earlier = timed.groupBy(user).agg((F.max("seq") - 1).alias("events"))
     earlier = earlier.withColumns(
@@ -151,6 +156,7 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
     }
     columns = ["userid", "seq", *names, *ATTRIBUTES]
     as_parts = timed.withColumnsRenamed({new: old for old, new in names.items()})
+    as_parts = as_parts.withColumns({a: dated(a, "first_time") for a in ATTRIBUTES})
     parts = as_parts.select(*columns).unionByName(numbered.select(*columns))
     return parts.groupBy("userid", "seq").agg(*measures())
 

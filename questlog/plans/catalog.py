@@ -70,7 +70,7 @@ def _csv_union_by_name(s: Store) -> DataFrame:
     """Land the raw rows under two headers, read them back by column name."""
     landing = scratch_dir(s.spark, "landing")
     raw = s.raw_events.select(*EVENT_COLUMNS)
-    is_purchase = F.col("event_name") == "purchase"
+    is_purchase = F.coalesce(F.col("event_name") == "purchase", F.lit(False))
     others = [c for c in reversed(EVENT_COLUMNS) if c not in _PURCHASE_COLUMNS]
     folders = [f"{landing}/purchases", f"{landing}/others"]
     raw.where(is_purchase).write.csv(folders[0], header=True, escape='"')
@@ -81,65 +81,48 @@ def _csv_union_by_name(s: Store) -> DataFrame:
 
 
 class _StreamFolders:
-    """Landing zone, table and checkpoint of one stream, and the raw rows to land."""
+    """Landing zone, tables and checkpoint of one stream, and the raw rows to land."""
 
     def __init__(self, s: Store):
-        self.spark = jobs.streaming_session(s.spark)
+        self.spark = s.spark
         folder = scratch_dir(s.spark, "stream")
         self.landing = f"{folder}/landing"
         self.table = f"{folder}/table"
+        self.events = f"{folder}/events"
         self.checkpoint = f"{folder}/checkpoint"
-        self.raw = Store(self.spark, s.sf_dir).raw_events
+        self.raw = s.raw_events
 
     def land(self, rows: DataFrame) -> None:
         landing_csv.land_by_drop_date(rows, self.landing)
 
-    def run(self, job: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def run(self, job: Callable[[DataFrame, int], None]) -> DataFrame:
         """Run a job on what landed since its last run; the whole table so far."""
-        stream = jobs.read_landing_stream(self.spark, self.landing)
-        jobs.append_available(job(stream), self.table, self.checkpoint)
+        jobs.run_available(self.spark, self.landing, self.checkpoint, job)
         return self.spark.read.parquet(self.table)
 
+    def run_in_two(self, job: Callable[[DataFrame, int], None]) -> DataFrame:
+        """Two runs; the second sees the later drops only."""
+        first_half = F.coalesce(F.dayofmonth(drop_date()) <= 15, F.lit(True))
+        for drops in (self.raw.where(first_half), self.raw.where(~first_half)):
+            self.land(drops)
+            table = self.run(job)
+        return table
+
 
 def _stream_incremental_load(s: Store) -> DataFrame:
-    """Two runs of the load; the second sees the later drops only."""
     folders = _StreamFolders(s)
-    first_half = F.coalesce(F.dayofmonth(drop_date()) <= 15, F.lit(True))
-    for drops in (folders.raw.where(first_half), folders.raw.where(~first_half)):
-        folders.land(drops)
-        loaded = folders.run(lambda stream: stream)
-    return loaded.select(*EVENT_COLUMNS)
+    return folders.run_in_two(jobs.append_raw(folders.table)).select(*EVENT_COLUMNS)
 
 
 def _stream_dedup(s: Store) -> DataFrame:
     folders = _StreamFolders(s)
-    folders.land(folders.raw)
-    return folders.run(lambda stream: jobs.dedup_stream(stream).drop("event_minute"))
+    return folders.run_in_two(jobs.append_new_events(folders.table)).drop("batch")
 
 
 def _stream_sessions(s: Store) -> DataFrame:
-    """Sessions of all landed rows; a far-future event then closes the last ones."""
     folders = _StreamFolders(s)
-
-    def job(stream: DataFrame) -> DataFrame:
-        return jobs.session_stream(jobs.dedup_stream(stream))
-
-    folders.land(folders.raw)
-    folders.run(job)
-    closing = {
-        "event_id": "closing",
-        "client_event_time": "2999-01-01 00:00:00",
-        "_source_file": "events_2999-01-01.csv",
-    }
-    folders.land(
-        folders.spark.range(1).select(
-            *[
-                F.lit(closing.get(c)).cast("string").alias(c)
-                for c in (*EVENT_COLUMNS, *_SOURCE)
-            ]
-        )
-    )
-    return folders.run(job)
+    folders.run_in_two(jobs.append_sessions(folders.events, folders.table))
+    return jobs.latest_sessions(s.spark, folders.table)
 
 
 QUERIES: dict[str, Query] = {

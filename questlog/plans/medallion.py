@@ -8,6 +8,7 @@ from __future__ import annotations
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from questlog.operators import (
     bronze,
@@ -23,6 +24,9 @@ from questlog.session import build_session
 from questlog.sources import landing_csv
 from questlog.sources.warehouse import Warehouse
 
+#: Input bytes for which a shuffle gets one more partition.
+PARTITION_BYTES = 200_000_000
+
 
 def build(
     raw_events: DataFrame,
@@ -30,7 +34,7 @@ def build(
     warehouse: Warehouse,
     partition_events: bool = False,
 ) -> DataFrame:
-    """Write all layers and return the data-quality checks.
+    """Write all layers and the data-quality checks, and return the checks.
 
     Every table is written once and read back, so no step repeats an earlier
     one and all marts see the same sessions. ``partition_events`` adds an
@@ -61,7 +65,8 @@ def build(
         "gold.mart_engagement_segment_summary", engagement.segment_summary(segments)
     )
     write("gold.mart_ab_test_readout", engagement.ab_test_readout(dim, summary))
-    return quality.quality_checks(raw, assigned, clean, played, dim, validation)
+    checks = quality.quality_checks(raw, assigned, clean, played, dim, validation)
+    return write("gold.data_quality_checks", checks)
 
 
 def row_report(warehouse: Warehouse) -> DataFrame:
@@ -77,22 +82,41 @@ def row_report(warehouse: Warehouse) -> DataFrame:
 
 
 def run(
-    spark: SparkSession, event_drops: str, assignments: str, output_root: str
+    spark: SparkSession,
+    event_drops: str,
+    assignments: str,
+    output_root: str,
+    multiline: bool = False,
 ) -> DataFrame:
-    """Build from CSV landing files and publish the tables to SQL."""
+    """Build from CSV landing files and publish the tables to SQL.
+
+    ``multiline`` allows line
+    breaks inside quoted fields, at the cost of one task per file.
+    """
     warehouse = Warehouse(spark, output_root)
     checks = build(
-        landing_csv.read_event_drops(spark, event_drops),
-        landing_csv.read_assignments(spark, assignments),
+        landing_csv.read_event_drops(spark, event_drops, multiline),
+        landing_csv.read_assignments(spark, assignments, multiline),
         warehouse,
     )
     warehouse.publish()
     return checks
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Set shuffle partitions for the input's bytes, the session's setting at least."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    size = files.agg(F.sum("length")).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, -(-size // PARTITION_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def main(arguments: list[str]) -> int:
     event_drops, assignments, output_root = arguments
     spark = build_session("questlog-build")
+    size_shuffles(spark, event_drops, assignments)
     checks = run(spark, event_drops, assignments, output_root)
     row_report(Warehouse(spark, output_root)).show(truncate=False)
     checks.show(100, truncate=False)

@@ -25,8 +25,9 @@ raw AS (
   SELECT
     CAST(event_id AS VARCHAR) AS event_id,
     event_name,
-    strftime(client_time, '%Y-%m-%d %H:%M:%S') AS client_event_time,
-    CAST(user_id AS VARCHAR) AS userid,
+    CASE WHEN event_id % 401 <> 0 THEN strftime(client_time, '%Y-%m-%d %H:%M:%S') END
+      AS client_event_time,
+    CAST(user_id + CASE WHEN user_id % 31 = 7 THEN 1000000000 ELSE 0 END AS VARCHAR) AS userid,
     CASE WHEN event_id % 200 = 0 THEN NULL
          WHEN user_id % 5 < 2 THEN 'ios' ELSE 'android' END AS platform,
     CASE WHEN event_id % 211 <> 0 THEN
@@ -60,8 +61,7 @@ assigned AS (
     CAST(c_custkey % 20 < 4 AS VARCHAR) AS retention_7,
     'raw/assignments.csv' AS filename,
     'assignments.csv' AS _source_file
-  FROM customer
-  WHERE c_custkey * 10 < (SELECT count(DISTINCT user_id) * 12 FROM events)
+  FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 97 = 5)
 )"""
 
 _CLEAN = """
@@ -84,13 +84,13 @@ clean AS (
 
 _SESSIONS = """
 gaps AS (
-  SELECT *, epoch_us(event_time) // 60000000 AS minute,
-    minute - lag(minute) OVER (PARTITION BY userid ORDER BY event_time, event_id) AS silence
+  SELECT *, substr(md5(event_id), 1, 15) AS place, epoch_us(event_time) // 60000000 AS minute,
+    lag(minute) OVER (PARTITION BY userid ORDER BY event_time, place, event_id) AS previous
   FROM clean
 ),
 in_session AS (
-  SELECT *, sum(CASE WHEN silence <= 30 THEN 0 ELSE 1 END) OVER (
-    PARTITION BY userid ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS seq
+  SELECT *, sum(CASE WHEN previous IS NULL OR minute - previous > 30 THEN 1 ELSE 0 END) OVER (
+    PARTITION BY userid ORDER BY event_time, place, event_id ROWS UNBOUNDED PRECEDING) AS seq
   FROM gaps
 ),
 sess AS (
@@ -251,9 +251,6 @@ def _sql(select: str, last: str) -> str:
 _EVENT_COLUMNS = """event_id, event_name, client_event_time, userid, platform, country,
   app_version, device_id, rounds_completed, revenue_usd, product_id, currency"""
 
-_SESSION_BY_START = """SELECT * EXCLUDE (session_id),
-  concat_ws('-', userid, epoch_us(session_start) // 60000000) AS session_id FROM sess"""
-
 ORACLE_SQL: dict[str, str] = {
     "raw_events": _sql("SELECT * FROM raw", _TELEMETRY),
     "raw_experiment_assignments": _sql("SELECT * FROM assigned", _ASSIGNED),
@@ -266,9 +263,10 @@ UNION ALL SELECT 'bronze.raw_experiment_assignments', count(*) FROM assigned""",
     "csv_union_by_name": _sql(f"SELECT {_EVENT_COLUMNS} FROM raw", _TELEMETRY),
     "events_clean": _sql("SELECT * FROM clean", _CLEAN),
     "sessions": _sql("SELECT * FROM sess", _SESSIONS),
+    # the built-in window leaves out events without a time
     "sessions_by_session_window": _sql(
         "SELECT * EXCLUDE (session_id) FROM sess", _SESSIONS
-    ),
+    ).replace("FROM clean\n),\nin_session", "FROM clean WHERE event_time IS NOT NULL\n),\nin_session"),
     "user_attrs": _sql("SELECT * FROM attrs", _USERS),
     "recomputed_metrics": _sql("SELECT * FROM recomputed", _USERS),
     "users_dim": _sql("SELECT * FROM dim", _USERS),
@@ -432,7 +430,7 @@ FROM (
             FILTER (WHERE platform IS NOT NULL) AS platform,
           last(app_version ORDER BY event_time, app_version)
             FILTER (WHERE app_version IS NOT NULL) AS app_version
-        FROM clean GROUP BY userid, event_date)
+        FROM clean WHERE event_time IS NOT NULL GROUP BY userid, event_date)
       WINDOW w AS (PARTITION BY userid ORDER BY event_date)))
   GROUP BY userid, version_no, platform, app_version)""",
         _CLEAN,
@@ -448,11 +446,13 @@ SELECT userid, install_date,
     AS revenue_usd,
   max(day_since_install) FILTER (WHERE early) AS last_active_day,
   count(*) FILTER (WHERE day_since_install BETWEEN 7 AND 13) = 0 AS churned
-FROM (SELECT *, day_since_install BETWEEN 0 AND 6 AS early FROM days)
+FROM (SELECT *, session_date - install_date AS day_since_install,
+        day_since_install BETWEEN 0 AND 6 AS early
+      FROM (SELECT DISTINCT userid, install_date FROM dim) JOIN sess USING (userid))
 GROUP BY userid, install_date""",
         _DAYS,
     ),
     "stream_incremental_load": _sql(f"SELECT {_EVENT_COLUMNS} FROM raw", _TELEMETRY),
     "stream_dedup": _sql("SELECT * FROM clean", _CLEAN),
-    "stream_sessions": _sql(_SESSION_BY_START, _SESSIONS),
+    "stream_sessions": _sql("SELECT * FROM sess", _SESSIONS),
 }

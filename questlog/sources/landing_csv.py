@@ -91,20 +91,23 @@ def file_name() -> Column:
     return _as_stored(F.col("_metadata.file_name"))
 
 
-def _headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
-    """Header line of every non-empty file.
-
-    Tasks open the listed files and read the first bytes of each. Files on
-    storage that Python cannot open there are read by Spark instead, whole.
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files by header line; none where all files have the one header.
+
+    Tasks open the listed files and read the first bytes of each. Only the
+    different headers reach the driver; paths do where there are several
+    headers, as Spark matches CSV columns by position and each header's files
+    are a scan of their own. Files on storage that Python cannot open there
+    are read by Spark instead, whole.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .where(F.col("length") > 0)
-        .select("path")
-    )
-    rows = files.mapInPandas(_header_reader(), "path string, header string").collect()
-    found = {r["path"]: r["header"] for r in rows}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    empty = not files.where("length = 0").isEmpty()
+    headers = files.where(F.col("length") > 0).select("path")
+    headers = headers.mapInPandas(_header_reader(), "path string, header string")
+    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    if len(distinct) == 1 and distinct[0] is not None and not empty:
+        return {distinct[0]: []}
+    found = {r["path"]: r["header"] for r in headers.collect()}
     unread = sorted(p for p, header in found.items() if header is None)
     if unread:
         lines = spark.read.text(unread).select(
@@ -116,7 +119,10 @@ def _headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
         firsts = lines.where("block = 0").groupBy("path")
         for r in firsts.agg(F.min_by("value", "line").alias("header")).collect():
             found[r["path"]] = r["header"].removeprefix("\ufeff")
-    return dict(sorted(found.items()))
+    by_header: dict[str, list[str]] = {}
+    for file, header in sorted(found.items()):
+        by_header.setdefault(header, []).append(file)
+    return by_header
 
 
 def read_csv_by_name(
@@ -125,16 +131,15 @@ def read_csv_by_name(
     """All CSV files under ``path`` as text, columns united by header name.
 
     Spark matches CSV columns by position, so files are read in groups of equal
-    header; a column a file lacks is NULL. Only file names and header lines
-    reach the driver. Provenance: ``filename`` and ``_source_file``.
+    header; a column a file lacks is NULL. Provenance: ``filename`` and ``_source_file``.
 
-    A row with more or fewer fields than its header fails the load. Set
-    ``multiline`` for line breaks inside quotes; a file is then one task.
+    A row with more or fewer fields than its header fails the load, whatever
+    columns of it are asked for: the parser reads whole rows. So does a line
+    break inside quotes, unless ``multiline`` is set; a file is then one task.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, line in _headers(spark, path).items():
-        columns = tuple(next(csv.reader([line])))
-        groups.setdefault(columns, []).append(file)
+    for line, files in _headers(spark, path).items():
+        groups.setdefault(tuple(next(csv.reader([line]))), []).extend(files)
     if not groups:
         raise FileNotFoundError(f"no CSV header under {path}")
 
@@ -145,8 +150,11 @@ def read_csv_by_name(
             .option("header", True)
             .option("escape", '"')
             .option("mode", "FAILFAST")
+            .option("columnPruning", False)
+            .option("recursiveFileLookup", True)
             .option("multiLine", multiline)
-            .csv(files)
+            # one header needs no list of its files
+            .csv(files or path)
         )
         parts.append(
             part.select(

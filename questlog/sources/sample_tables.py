@@ -24,6 +24,8 @@ PRODUCTS = [
 LAG_HOURS = [0, 0, 0, 0, 0, 0, 0, 1, 2, 6, 26]
 RETRY_LAG_HOURS = 26
 INGESTED_AT = "2024-03-01 00:00:00"
+# Added to the ids of users that no customer has.
+UNASSIGNED = 1_000_000_000
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -36,7 +38,11 @@ def _seconds(count: Column) -> Column:
 
 
 def events_as_telemetry(events: DataFrame) -> DataFrame:
-    """Raw telemetry rows as delivered, every 67th event twice."""
+    """Raw telemetry rows as delivered, every 67th event twice.
+
+    Every 401st event comes without a time, and one user in 31 is not among the
+    customers, so the paths for both have rows.
+    """
     event_id, user_id, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     name = (
         F.when(kind == "view", "app_open")
@@ -71,8 +77,8 @@ def events_as_telemetry(events: DataFrame) -> DataFrame:
     columns = {
         "event_id": event_id.cast("string"),
         "event_name": F.col("event_name"),
-        "client_event_time": F.col("client_time").cast("string"),
-        "userid": user_id.cast("string"),
+        "client_event_time": F.when(event_id % 401 != 0, F.col("client_time").cast("string")),
+        "userid": F.when(user_id % 31 == 7, user_id + UNASSIGNED).otherwise(user_id).cast("string"),
         "platform": F.when(event_id % 200 == 0, None)
         .when(user_id % 5 < 2, "ios")
         .otherwise("android"),
@@ -95,11 +101,11 @@ def events_as_telemetry(events: DataFrame) -> DataFrame:
     )
 
 
-def customers_as_assignments(customer: DataFrame, events: DataFrame) -> DataFrame:
-    """Experiment export: a fifth more assigned users than active users."""
+def customers_as_assignments(customer: DataFrame) -> DataFrame:
+    """Experiment export: every customer, one in 97 delivered twice."""
     key = F.col("c_custkey")
-    active = events.select(F.count_distinct("user_id") * 12).scalar()
-    return customer.where(key * 10 < active).select(
+    copies = F.when(key % 97 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return customer.select("c_custkey", F.explode(copies)).select(
         key.cast("string").alias("userid"),
         F.when(key % 2 == 0, "gate_30").otherwise("gate_40").alias("version"),
         (key % 50).cast("string").alias("sum_gamerounds"),
@@ -116,7 +122,4 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers_as_assignments(
-        spark.read.parquet(f"{sf_dir}/customer.parquet"),
-        spark.read.parquet(f"{sf_dir}/events.parquet"),
-    )
+    return customers_as_assignments(spark.read.parquet(f"{sf_dir}/customer.parquet"))

@@ -17,6 +17,7 @@ TABLES = {
         "mart_engagement_segments",
         "mart_engagement_segment_summary",
         "mart_ab_test_readout",
+        "data_quality_checks",
     ],
 }
 

@@ -1,64 +1,59 @@
-"""Structured Streaming twins of the load, the deduplication and the sessions.
+"""Incremental twins of the load, the deduplication and the sessions.
 
-Each job takes what is there (``availableNow``), writes Parquet and remembers
-its progress in a checkpoint, so the next run reads new files only.
+A stream of new landing files drives each job (``availableNow``): Spark's
+checkpoint remembers the files, a bounded number of them makes one batch, and
+each batch writes a folder ``batch=N`` that a repeated batch replaces. The
+tables written are the state, so nothing is lost however late it comes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from questlog.operators.bronze import land
+from questlog.operators.events import CLEAN_COLUMNS, events_clean
+from questlog.operators.sessions import SESSION_COLUMNS, sessions
+from questlog.sources.landing_csv import read_event_drops
+
+#: Files of one batch; their paths are all that reaches the driver.
+FILES_PER_BATCH = 1000
+
+_FILE = StructType().add("path", "string").add("modificationTime", "timestamp")
+_FILE = _FILE.add("length", "long").add("content", "binary")
+
 
-from questlog.functions import minute_index
-from questlog.operators.events import CLEAN_COLUMNS, typed_events
-from questlog.operators.sessions import (
-    ATTRIBUTES,
-    GAP_MINUTES,
-    SESSION_COLUMNS,
-    finish,
-    measures,
-)
-from questlog.sources.landing_csv import (
-    EVENT_COLUMNS,
-    file_name,
-    file_path,
-    text_schema,
-)
-
-# Copies and late events arrive up to 26 hours after the event; files are read
-# in drop order, a day apart.
-LATENESS = "48 hours"
-
-
-def read_landing_stream(spark: SparkSession, landing: str) -> DataFrame:
-    """New CSV drops as text with provenance.
-
-    Columns are read by position here; a file whose header differs from
-    ``EVENT_COLUMNS`` fails the stream instead of landing under wrong names.
+def run_available(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str,
+    job: Callable[[DataFrame, int], None],
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Give the rows of the files not seen before to ``job(raw, batch)`` and stop.
+
+    Columns are matched by header name, file by file, as in the batch load.
     """
-    return (
-        spark.readStream.schema(text_schema(EVENT_COLUMNS))
-        .option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
         .option("recursiveFileLookup", True)
-        .csv(landing)
-        .select(
-            "*",
-            file_path().alias("filename"),
-            file_name().alias("_source_file"),
-            F.current_timestamp().alias("_ingested_at"),
-        )
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .where("length > 0")
+        .select("path")
     )
 
+    def batch(new: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in new.collect()]
+        if paths:
+            job(land(read_event_drops(new.sparkSession, paths)), number)
 
-def append_available(stream: DataFrame, table: str, checkpoint: str) -> None:
-    """Append everything available to a Parquet table and stop."""
     query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", table)
+        files.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -66,81 +61,68 @@ def append_available(stream: DataFrame, table: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def dedup_stream(
-    raw: DataFrame, lateness: str = LATENESS, splits: int | None = 32
-) -> DataFrame:
-    """One row per event_id among the copies at most ``lateness`` apart.
+def _folder(table: str, batch: int) -> str:
+    return f"{table}/batch={batch}"
 
-    The state holds ids of that time only. Copies further apart, and events
-    without a time, are the batch job's business. Copies are dropped per id
-    and group of reading tasks first, so an id delivered very many times is at
-    most ``splits`` rows when its copies meet; ``None`` saves that step's state
-    where no id can be frequent.
-    """
-    timed = typed_events(raw).where(F.col("event_time").isNotNull())
-    # Watermarks need an instant; the minute's number stands for it in any zone.
-    minute = F.timestamp_seconds(minute_index(F.col("event_time")) * 60)
-    copies = timed.withColumn("event_minute", minute)
-    copies = copies.withWatermark("event_minute", lateness)
-    if splits:
-        copies = copies.withColumn("split", F.spark_partition_id() % splits)
-        copies = copies.dropDuplicatesWithinWatermark(["event_id", "split"])
-    return (
-        copies.dropDuplicatesWithinWatermark(["event_id"])
-        .withColumn("event_date", F.col("event_time").cast("date"))
-        .select(*CLEAN_COLUMNS, "event_minute")
-    )
 
+def append_raw(table: str) -> Callable[[DataFrame, int], None]:
+    """Job that appends landed rows to a table."""
 
-def session_stream(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Sessions of a ``dedup_stream``, each emitted once it cannot change.
+    def job(raw: DataFrame, batch: int) -> None:
+        raw.write.mode("overwrite").parquet(_folder(table, batch))
 
-    A running number is not final while events arrive late, so the id ends in
-    the start minute. Equal sums as in the batch job.
+    return job
+
+
+def _of_batches(
+    spark: SparkSession, table: str, schema: StructType, condition: str
+) -> DataFrame:
+    whole = StructType([*schema.fields, StructField("batch", IntegerType())])
+    return spark.read.schema(whole).parquet(table).where(condition)
+
+
+def append_new_events(table: str) -> Callable[[DataFrame, int], None]:
+    """Job that appends the events whose id no earlier batch had.
+
+    One row per id and batch as in ``events_clean``; earlier ids are read from
+    the table itself, one column of it. The first delivery is kept whenever it
+    comes, with or without a time.
     """
-    window = F.session_window("event_minute", f"{gap_minutes} minutes")
-    rolled = (
-        events.select(
-            "userid",
-            "event_minute",
-            *ATTRIBUTES,
-            F.lit(1).cast("bigint").alias("events"),
-            F.col("event_time").alias("first_time"),
-            F.col("event_time").alias("last_time"),
-            F.col("rounds_completed").alias("rounds"),
-            F.col("revenue_usd").alias("revenue"),
-            F.coalesce(
-                (F.col("event_name") == "purchase").cast("bigint"), F.lit(0)
-            ).alias("purchases"),
-        )
-        .groupBy("userid", window)
-        .agg(*measures())
-    )
-    start = minute_index(F.col("session_start")).cast("string")
-    session_id = F.concat(F.col("userid").cast("string"), F.lit("-"), start)
-    return finish(rolled.withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
+
+    def job(raw: DataFrame, batch: int) -> None:
+        clean = events_clean(raw)
+        if batch:
+            earlier = _of_batches(raw.sparkSession, table, clean.schema, f"batch < {batch}")
+            earlier = earlier.select(F.col("event_id").alias("seen"))
+            clean = clean.join(earlier, F.col("event_id").eqNullSafe(F.col("seen")), "left_anti")
+        clean.write.mode("overwrite").parquet(_folder(table, batch))
+
+    return job
 
 
-def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
-    """Session for the jobs below, with settings of its own.
+def append_sessions(events_table: str, table: str) -> Callable[[DataFrame, int], None]:
+    """Job that appends new events, and the sessions of the users that had any.
 
-    State lives in RocksDB, off the heap and spilling to disk. A batch's
-    sessions are merged before the shuffle, so a hot user is few rows. The
-    number of state partitions is fixed with a checkpoint's first run, and
-    adaptive execution does not merge them: by default two per core, at most
-    the shuffle setting.
+    Their sessions are made anew from all their events, so late ones find their
+    place; ``latest_sessions`` reads the last version of each user.
     """
-    session = spark.newSession()
-    if partitions is None:
-        setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = min(setting, 2 * spark.sparkContext.defaultParallelism)
-    settings = {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    }
-    for key, value in settings.items():
-        session.conf.set(key, value)
-    return session
+    add_events = append_new_events(events_table)
+
+    def job(raw: DataFrame, batch: int) -> None:
+        add_events(raw, batch)
+        schema = raw.sparkSession.read.parquet(_folder(events_table, batch)).schema
+        events = _of_batches(raw.sparkSession, events_table, schema, f"batch <= {batch}")
+        users = events.where(f"batch = {batch}").select(F.col("userid").alias("touched")).distinct()
+        whole = events.join(users, F.col("userid").eqNullSafe(F.col("touched")), "left_semi")
+        made = sessions(whole.select(*CLEAN_COLUMNS))
+        made.write.mode("overwrite").parquet(_folder(table, batch))
+
+    return job
+
+
+def latest_sessions(spark: SparkSession, table: str) -> DataFrame:
+    """The sessions of each user as of the last batch that had events of the user."""
+    versions = spark.read.parquet(table)
+    last = versions.groupBy(F.col("userid").alias("user")).agg(F.max("batch").alias("last"))
+    same = F.col("userid").eqNullSafe(F.col("user")) & (F.col("batch") == F.col("last"))
+    return versions.join(last, same, "left_semi").select(*SESSION_COLUMNS)

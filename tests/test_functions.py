@@ -26,12 +26,13 @@ def test_lenient_int(spark):
         "3": 3, "3.0": 3, "3.5": 4, "2.5": 3, "-2.5": -3, "1e2": 100, " 7 ": 7,
         "": None, "abc": None, "3000000000": None, "NaN": None, "inf": None,
         "1d": None, "2147483647.4": 2147483647, "2147483647.5": None, None: None,
+        "0.49999999999999994": 0, "0x10": None,
     }
     assert _map(spark, list(cases), "string", lenient_int) == list(cases.values())
 
 
 def test_lenient_double(spark):
-    cases = {"4.99": 4.99, "abc": None, "": None, "1d": None, "inf": float("inf")}
+    cases = {"4.99": 4.99, "abc": None, "": None, "1d": None, "inf": float("inf"), "0x1p3": None}
     assert _map(spark, list(cases), "string", lenient_double) == list(cases.values())
 
 
@@ -43,7 +44,10 @@ def test_strict_reads_and_fails(spark):
     assert _map(spark, flags, "string", lambda c: strict(c, "boolean")) == [
         True, False, True, True,
     ]
-    for bad, kind in [("x", "bigint"), ("bad", "timestamp_ntz"), ("maybe", "boolean")]:
+    for bad, kind in [
+        ("x", "bigint"), ("bad", "timestamp_ntz"), ("maybe", "boolean"), ("2024", "timestamp_ntz"),
+        ("2024-01", "timestamp_ntz"), (" true ", "boolean"),
+    ]:
         with pytest.raises(PySparkException, match="cannot read"):
             _map(spark, [bad], "string", lambda c, k=kind: strict(c, k))
 

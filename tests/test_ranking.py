@@ -9,13 +9,6 @@ from questlog.operators import engagement, ranking
 SCHEMA = "v bigint, u bigint, a string"
 
 
-@pytest.fixture(params=["window", "digits"])
-def way(request, monkeypatch):
-    """Both ways to order: by a plain window, by running counts of digits."""
-    if request.param == "digits":
-        monkeypatch.setattr(ranking, "_WINDOW_ROWS", 0)
-
-
 def _expected(rows, tiles):
     """Tiles and ranks by position in the sorted list."""
     ordered = sorted(
@@ -48,12 +41,12 @@ def _tiled(spark, rows, tiles=4):
         [(2**62, -3, "z"), (-(2**62), 7, "q"), (-(2**62), 7, "q"), (-1, 0, "q")],
     ],
 )
-def test_small_cases(spark, way, rows):
+def test_small_cases(spark, rows):
     assert _tiled(spark, rows) == _expected(rows, 4)
 
 
 @pytest.mark.parametrize("seed,tiles", [(1, 4), (2, 3), (3, 7)])
-def test_random_cases(spark, way, seed, tiles, monkeypatch):
+def test_random_cases(spark, seed, tiles, monkeypatch):
     monkeypatch.setattr(ranking, "_EXPAND_STEP", 5)
     rnd = random.Random(seed)
     rows = [
@@ -97,13 +90,17 @@ def test_ranked_rows_are_not_shuffled_by_value(spark):
         "userid bigint, ab_version string, platform string, country string, "
         "event_derived_rounds bigint",
     )
-    for df in (engagement.top_players(users), engagement.engagement_percentile(users)):
-        assert "BroadcastHashJoin" in _physical(df)
-        assert "Exchange hashpartitioning" not in _physical(df)
+    percentile, top = engagement.engagement_percentile(users), engagement.top_players(users)
+    assert "BroadcastHashJoin" in _physical(percentile)
+    assert "Exchange hashpartitioning" not in _physical(percentile)
+    # top players: counts of at most as many values as places are shuffled, no users
+    lines = _physical(top).splitlines()
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert "BroadcastHashJoin" in _physical(top) and "SortMergeJoin" not in _physical(top)
+    assert shuffles and all("partial_count" in lines[i + 1] for i in shuffles)
 
 
-def test_no_single_task_beyond_the_limit(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "_WINDOW_ROWS", 2)
+def test_no_single_task(spark):
     users = spark.createDataFrame([(i % 3, i, "x") for i in range(30)], SCHEMA)
     lines = _physical(ranking.with_tiles(users, "v", "u", 4)).splitlines()
     for i, line in enumerate(lines):
@@ -111,7 +108,7 @@ def test_no_single_task_beyond_the_limit(spark, monkeypatch):
             assert "HashAggregate(keys=[v#" in lines[i + 1] and "_high" in lines[i + 1]
 
 
-def test_large_histograms_join_by_shuffle(spark, way):
+def test_large_histograms_join_by_shuffle(spark):
     rows = [(i % 50, i, "x") for i in range(500)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -170,10 +170,14 @@ def test_hot_user_is_a_row_per_minute(spark):
             "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 600)"
         ).alias("event_time"),
         F.lit(1).cast("bigint").alias("userid"),
-        *[F.lit("x").alias(c) for c in ("platform", "country", "app_version")],
+        *[F.concat(F.lit(c), F.col("id") % 7).alias(c) for c in ("platform", "country", "app_version")],
         F.lit(1).alias("rounds_completed"),
         F.lit(None).cast("double").alias("revenue_usd"),
     )
     assert minute_rollup(events).count() == 10
     row = sessions(events).collect()
     assert [(r["event_count"], r["rounds_played"]) for r in row] == [(20000, 20000)]
+    # events without a user, whatever their attributes, too
+    unknown = events.withColumn("userid", F.lit(None).cast("bigint"))
+    assert minute_rollup(unknown).count() == 10
+    assert [r["event_count"] for r in sessions(unknown).collect()] == [20000]

@@ -52,8 +52,17 @@ def _no_header(batches):
 def test_header_longer_than_one_read(spark, tmp_path):
     names = [f"column_{i}" for i in range(4000)]
     _write(tmp_path / "f.csv", ",".join(names) + "\n" + "x," * 3999 + "x\n")
-    (path,) = landing_csv._headers(spark, str(tmp_path)).items()
-    assert path[1].split(",") == names
+    (header,) = landing_csv._headers(spark, str(tmp_path))
+    assert header.split(",") == names
+
+
+def test_one_header_needs_no_paths_on_the_driver(spark, tmp_path):
+    for i in range(40):
+        _write(tmp_path / f"d{i % 3}" / f"f{i}.csv", f"a,b\n{i},x\n")
+    assert landing_csv._headers(spark, str(tmp_path)) == {"a,b": []}
+    rows = landing_csv.read_csv_by_name(spark, str(tmp_path)).collect()
+    assert sorted(int(r["a"]) for r in rows) == list(range(40))
+    assert {r["_source_file"] for r in rows} == {f"f{i}.csv" for i in range(40)}
 
 
 def test_header_reader_needs_no_package_on_executors():
@@ -75,14 +84,21 @@ def test_header_reader_needs_no_package_on_executors():
 def test_rows_that_do_not_fit_the_header_fail(spark, tmp_path):
     for i, row in enumerate(["1,2,3,4", "1,2"]):
         _write(tmp_path / str(i) / "f.csv", f"a,b,c\n1,2,3\n{row}\n")
-        with pytest.raises(Exception, match="(?i)malformed"):
-            landing_csv.read_csv_by_name(spark, str(tmp_path / str(i))).collect()
+        df = landing_csv.read_csv_by_name(spark, str(tmp_path / str(i)))
+        for read in (df.collect, df.select("a").collect, df.select("c").distinct().collect, df.count):
+            with pytest.raises(Exception, match="(?i)malformed"):
+                read()
 
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
     _write(tmp_path / "f.csv", 'a,b\n1,"x\ny"\n2,z\n')
     df = landing_csv.read_csv_by_name(spark, str(tmp_path), multiline=True)
     assert [tuple(r)[:2] for r in df.collect()] == [("1", "x\ny"), ("2", "z")]
+    assert [r[0] for r in df.select("a").collect()] == ["1", "2"] and df.count() == 2
+    refused = landing_csv.read_csv_by_name(spark, str(tmp_path))
+    for read in (refused.collect, refused.select("a").collect, refused.count):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read()
 
 
 def test_nothing_to_read(spark, tmp_path):
@@ -160,6 +176,25 @@ def test_build_from_files(spark, tmp_path):
     assert spark.table("silver.events_clean").count() == 4
 
 
+@pytest.mark.parametrize("duplicate, code", [(True, 0), (False, 1)])
+def test_exit_code(spark, tmp_path, monkeypatch, duplicate, code):
+    """A feed without duplicates fails its check, and the build with it."""
+    _landing_zone(tmp_path)
+    if not duplicate:
+        second = tmp_path / "landing" / "events_2024-01-02.csv"
+        second.write_text("\n".join(second.read_text().splitlines()[:2]) + "\n")
+    monkeypatch.setattr(medallion, "build_session", lambda name: spark)
+    monkeypatch.setattr(medallion, "PARTITION_BYTES", 100)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    args = [str(tmp_path / "landing" / "events_*.csv"), str(tmp_path / "assignments.csv")]
+    try:
+        assert medallion.main([*args, str(tmp_path / "warehouse")]) == code
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.table("gold.data_quality_checks").where("NOT passed").count() == code
+
+
 def test_events_by_day_layout(spark, tmp_path):
     _landing_zone(tmp_path)
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))

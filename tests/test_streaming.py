@@ -1,94 +1,103 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from questlog.operators.events import events_clean
 from questlog.operators.sessions import sessions
+from questlog.sources import landing_csv
 from questlog.sources.landing_csv import EVENT_COLUMNS
 from questlog.streaming import jobs
-from tests.fixtures import RAW_SCHEMA, raw_events
 
-import pytest
-from pyspark.errors import StreamingQueryException
 
-HEADER = ",".join(EVENT_COLUMNS)
+def _row(event_id, time="2024-01-01 10:00:00", user="1", **kw):
+    row = dict.fromkeys(EVENT_COLUMNS, "") | {"event_name": "app_open", "app_version": "1.0", "device_id": "d"}
+    return row | {"event_id": event_id, "client_event_time": time or "", "userid": user} | kw
 
 
-def _drop(folder, name, *ids, header=HEADER):
+def _drop(folder, name, rows, columns=EVENT_COLUMNS):
     folder.mkdir(exist_ok=True)
-    rows = [f"{i},app_open,2024-01-01 10:00:00,1,ios,US,1.0,d,,,," for i in ids]
-    (folder / name).write_text("\n".join([header, *rows]) + "\n")
+    lines = [",".join(columns), *(",".join(r[c] for c in columns) for r in rows)]
+    (folder / name).write_text("\n".join(lines) + "\n")
 
 
-def test_incremental_load_reads_new_files_only(spark, tmp_path):
-    session = jobs.streaming_session(spark)
-    landing, table, checkpoint = (tmp_path / n for n in ("landing", "table", "checkpoint"))
+class Stream:
+    """A landing folder and a job run on what is new in it."""
 
-    def load():
-        stream = jobs.read_landing_stream(session, str(landing))
-        jobs.append_available(stream, str(table), str(checkpoint))
-        return sorted(r["event_id"] for r in spark.read.parquet(str(table)).collect())
-
-    _drop(landing, "events_2024-01-01.csv", "a", "b")
-    assert load() == ["a", "b"]
-    assert load() == ["a", "b"]
-    _drop(landing, "events_2024-01-02.csv", "a", "c")
-    assert load() == ["a", "a", "b", "c"]
-    names = {r["_source_file"] for r in spark.read.parquet(str(table)).collect()}
-    assert names == {"events_2024-01-01.csv", "events_2024-01-02.csv"}
-
-
-def test_incremental_load_refuses_another_header(spark, tmp_path):
-    session = jobs.streaming_session(spark)
-    header = ",".join(reversed(EVENT_COLUMNS))
-    _drop(tmp_path / "landing", "events_2024-01-01.csv", "a", header=header)
-    stream = jobs.read_landing_stream(session, str(tmp_path / "landing"))
-    with pytest.raises(StreamingQueryException):
-        jobs.append_available(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    def __init__(self, spark, tmp_path, **kw):
+        self.spark, self.kw, self.landing = spark, kw, tmp_path / "landing"
+        self.table, self.events, self.checkpoint = (str(tmp_path / n) for n in ("table", "events", "checkpoint"))
 
+    def run(self, job):
+        jobs.run_available(self.spark, str(self.landing), self.checkpoint, job, **self.kw)
+        return self.spark.read.parquet(self.table)
 
-def _stream_runs(spark, tmp_path, batches, job):
-    """Feed row batches one run at a time to a job with one checkpoint."""
-    session = jobs.streaming_session(spark)
-    landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "checkpoint"))
-    for batch in batches:
-        raw_events(spark, batch).coalesce(1).write.mode("append").parquet(landing)
-        stream = session.readStream.schema(RAW_SCHEMA).parquet(landing)
-        jobs.append_available(job(stream), table, checkpoint)
-    return spark.read.parquet(table)
+    def everything(self):
+        return events_clean(jobs.land(landing_csv.read_event_drops(self.spark, str(self.landing))))
 
 
-def test_copy_in_a_later_run_is_dropped(spark, tmp_path):
-    batches = [
-        [{"event_id": "a"}, {"event_id": "a"}, {"event_id": "b"}],
-        [{"event_id": "b", "_source_file": "events_2024-01-02.csv"}, {"event_id": "c"}],
-    ]
-    out = _stream_runs(
-        spark, tmp_path, batches, lambda s: jobs.dedup_stream(s).drop("event_minute")
-    )
-    batch = events_clean(raw_events(spark, [row for b in batches for row in b]))
-    assert out.exceptAll(batch).count() == batch.exceptAll(out).count() == 0
+def _same(a, b):
+    return a.exceptAll(b).count() == b.exceptAll(a).count() == 0
 
 
-def test_sessions_equal_the_batch_job(spark, tmp_path):
-    def visit(event_id, time, **kw):
-        return {"event_id": event_id, "client_event_time": time, **kw}
+def test_load_reads_new_files_only_by_column_name(spark, tmp_path):
+    stream = Stream(spark, tmp_path, files_per_batch=1)
 
-    batches = [
+    def load():
+        rows = stream.run(jobs.append_raw(stream.table)).collect()
+        return sorted((r["event_id"], r["client_event_time"]) for r in rows)
+
+    at = "2024-01-01 10:00:00"
+    _drop(stream.landing, "events_2024-01-01.csv", [_row("a"), _row("b")])
+    _drop(stream.landing, "events_2024-01-02.csv", [_row("a"), _row("c")], EVENT_COLUMNS[::-1])
+    assert load() == [("a", at), ("a", at), ("b", at), ("c", at)]
+    assert len(load()) == 4
+    _drop(stream.landing, "events_2024-01-03.csv", [_row("d")], EVENT_COLUMNS[:5])
+    (stream.landing / "empty.csv").write_text("")
+    assert load()[-1] == ("d", at)
+    names = {r["_source_file"] for r in spark.read.parquet(stream.table).collect()}
+    assert names == {f"events_2024-01-0{i}.csv" for i in (1, 2, 3)}
+
+
+def test_rows_that_do_not_fit_fail(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    _drop(stream.landing, "events_2024-01-01.csv", [_row("a,b")])
+    with pytest.raises(StreamingQueryException):
+        stream.run(jobs.append_raw(stream.table))
+
+
+def test_dedup_loses_nothing(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    _drop(stream.landing, "events_2024-01-09.csv", [_row("a", "2024-01-09 10:00:00")] * 2 + [_row("b", "2024-01-09 11:00:00")])
+    stream.run(jobs.append_new_events(stream.table))
+    # copies, a first delivery nine days late, one without a time, and a row without an id
+    late = [_row("b", "2024-01-09 11:00:00"), _row("late", "2024-01-01 00:00:00"), _row("untimed", None), _row("", "2024-01-01 00:00:00")]
+    _drop(stream.landing, "events_2024-01-10.csv", late)
+    out = stream.run(jobs.append_new_events(stream.table))
+    assert sorted(r["event_id"] or "" for r in out.collect()) == ["", "a", "b", "late", "untimed"]
+    _drop(stream.landing, "events_2024-01-11.csv", late)
+    out = stream.run(jobs.append_new_events(stream.table))
+    assert out.count() == 5 and _same(out.drop("batch"), stream.everything())
+
+
+def test_sessions_equal_the_batch_job_after_every_run(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    drops = [
         [
-            visit("a", "2024-01-01 10:00:59", rounds_completed="3.0"),
-            visit("b", "2024-01-01 10:30:30"),
-            visit("c", "2024-01-01 11:01:00", event_name="purchase", revenue_usd="4.99"),
+            _row("a", "2024-01-01 10:00:59", rounds_completed="3.0"),
+            _row("b", "2024-01-01 10:30:30"),
+            _row("c", "2024-01-01 11:01:00", event_name="purchase", revenue_usd="4.99"),
+            _row("n", "2024-01-01 11:01:00", user=""),
         ],
-        # late: joins the first session; a copy; another user
+        # late: joins two sessions; a copy; another user; no time; no user
         [
-            visit("d", "2024-01-01 10:15:00", platform="ios"),
-            visit("c", "2024-01-01 11:01:00", event_name="purchase", revenue_usd="4.99"),
-            visit("e", "2024-01-02 09:00:00", userid="2"),
+            _row("d", "2024-01-01 10:45:00", platform="ios"),
+            _row("c", "2024-01-01 11:01:00", event_name="purchase", revenue_usd="4.99"),
+            _row("e", "2024-01-02 09:00:00", user="2"),
+            _row("f", None),
+            _row("g", "2024-01-01 11:20:00", user=""),
         ],
-        [visit("z", "2030-01-01 00:00:00", userid="3")],
+        [_row("h", "2023-12-01 00:00:00"), _row("i", None)],
     ]
-    out = _stream_runs(
-        spark, tmp_path, batches, lambda s: jobs.session_stream(jobs.dedup_stream(s))
-    )
-    rows = [row for b in batches[:2] for row in b]
-    batch = sessions(events_clean(raw_events(spark, rows))).drop("session_id")
-    out = out.drop("session_id")
-    assert out.exceptAll(batch).count() == batch.exceptAll(out).count() == 0
-    assert out.count() == 3
+    for day, rows in enumerate(drops, 1):
+        _drop(stream.landing, f"events_2024-01-0{day}.csv", rows)
+        stream.run(jobs.append_sessions(stream.events, stream.table))
+        assert _same(jobs.latest_sessions(spark, stream.table), sessions(stream.everything()))
