@@ -20,7 +20,7 @@ from questlog.operators import (
     sessions,
     users,
 )
-from questlog.session import build_session
+from questlog.session import build_session, scratch_scope
 from questlog.sources import landing_csv
 from questlog.sources.warehouse import Warehouse
 
@@ -94,11 +94,12 @@ def run(
     breaks inside quoted fields, at the cost of one task per file.
     """
     warehouse = Warehouse(spark, output_root)
-    checks = build(
-        landing_csv.read_event_drops(spark, event_drops, multiline),
-        landing_csv.read_assignments(spark, assignments, multiline),
-        warehouse,
-    )
+    with scratch_scope(spark):
+        checks = build(
+            landing_csv.read_event_drops(spark, event_drops, multiline),
+            landing_csv.read_assignments(spark, assignments, multiline),
+            warehouse,
+        )
     warehouse.publish()
     return checks
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Scratch folders made by this driver, in order.
+_made: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
@@ -54,7 +60,22 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="questlog-"))
         shared = spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/')}/questlog/{purpose}-{uuid.uuid4().hex}"
+    _made.append(f"{shared.rstrip('/')}/questlog/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch folders made inside, once their tables have been used."""
+    first = len(_made)
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _made[first:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+        del _made[first:]
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,11 +1,13 @@
 import subprocess
 import sys
+from pathlib import Path
 
 import pytest
 from pyspark import cloudpickle
 
 from questlog.operators.bronze import land
 from questlog.plans import medallion
+from questlog.session import scratch_dir, scratch_scope
 from questlog.sources import landing_csv
 from questlog.sources.landing_csv import EVENT_COLUMNS
 from questlog.sources.warehouse import TABLES, Warehouse
@@ -155,7 +157,14 @@ def test_build_from_files(spark, tmp_path):
     _landing_zone(tmp_path)
     out = str(tmp_path / "warehouse")
     args = [str(tmp_path / "landing" / "events_*.csv"), str(tmp_path / "assignments.csv"), out]
+    with scratch_scope(spark):
+        made = scratch_dir(spark, "probe")
+        spark.range(1).write.parquet(made)
+        assert Path(made.removeprefix("file:")).exists()
+    scratch = Path(made.removeprefix("file:")).parent
+    before = set(scratch.iterdir())
     checks = medallion.run(spark, *args)
+    assert set(scratch.iterdir()) == before
     assert all(r["passed"] for r in checks.collect())
 
     for layer, tables in TABLES.items():
