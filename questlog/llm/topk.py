@@ -117,7 +117,8 @@ def top_k(
     batches = max(1, -(-asked.count() // BATCH_QUERIES))
 
     def numbered(rows: DataFrame, of: str, parts: int, other: str, others: int) -> DataFrame:
-        own = F.pmod(F.xxhash64("id"), F.lit(parts)).alias(of)
+        # of one type on both sides, as equal numbers of other types hash apart
+        own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias(of)
         return rows.select("id", "vector", own, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     candidates = numbered(rows, "block", blocks, "batch", batches)

@@ -29,8 +29,14 @@ def test_matches_brute_force(spark, monkeypatch, block, batch):
     rows += [(300 + i, rows[i % 3][1]) for i in range(60)]  # ties
     rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 16), (550, [float("inf")] * 16), (None, rows[0][1]), (600, []), (650, [0.5]), (50, rows[50][1]), (7, rows[7][1])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS id", "2 AS score", "3 AS block")
-    got = topk.top_k(table, F.col("vec_id") % 50 == 0).collect()
-    assert sorted(tuple(r) for r in got) == plain(rows, 5)
+    # each block and batch in a task of its own
+    for partitions, merged in (("4", "true"), ("50", "false")):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+        got = topk.top_k(table, F.col("vec_id") % 50 == 0).collect()
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert sorted(tuple(r) for r in got) == plain(rows, 5)
 
 
 def test_fewer_candidates_than_k_and_none(spark):
