@@ -102,46 +102,61 @@ QUERIES = {
     "op10_substrings": op10_substrings,
 }
 
+_LOWER_AZ = f"translate({{}}, '{url_filters.UPPER}', '{url_filters.LOWER}')"
+_HOST = _LOWER_AZ.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")
+
+# The other queries hash, learn, link over chains or pack, which DuckDB's SQL cannot
+# express, or (op10, windows of bytes) not within a machine's memory; tests/llm holds
+# them against brute-force versions.
 ORACLE_SQL = {
-    "op5_url_filters": r"""
-        WITH cut AS (
-            SELECT page_id, lower_az(coalesce(url, '')) AS lowered,
-                   lower_az(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)) AS host,
-                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
-            FROM pages
-        ), fits AS (
-            SELECT *, CASE
-                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
-                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
-                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
-                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
-                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
-                END AS rule
-            FROM cut
-        )
-        SELECT page_id, host, path, rule, CASE
-            WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
-            WHEN rule IS NOT NULL THEN 'block'
-            WHEN regexp_matches(lowered, '(^|[^a-z0-9])(ads|banner|casino|gambling|porn|torrent|viagra|xxx)([^a-z0-9]|$)') THEN 'block'
-            ELSE 'allow' END AS verdict
-        FROM fits
-    """,
-}
-ORACLE_SQL["op7_topk"] = """
-    WITH whole AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-        WHERE embedding IS NOT NULL
-          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    ), scored AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-        FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
-    )
-    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
-    FROM scored QUALIFY rank <= 5
-"""
-ORACLE_SQL["op5_url_filters"] = ORACLE_SQL["op5_url_filters"].replace(
-    "lower_az(coalesce(url, ''))", "translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-).replace(
-    "lower_az(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1))",
-    "translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+    "op2_phrases": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+starts AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM words)
+),
+again AS (SELECT doc_id, s FROM starts QUALIFY count(*) OVER (PARTITION BY h) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(s, s + 35)) AS p FROM again)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words) ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id
 )
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, ifnull(n, 0) AS n_removed, sha256(ifnull(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)""",
+    "op5_url_filters": f"""
+WITH cut AS (
+  SELECT page_id, {_LOWER_AZ.format("coalesce(url, '')")} AS lowered, {_HOST} AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+fits AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+  END AS rule
+  FROM cut
+)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+  WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(lowered, '(^|[^a-z0-9])({"|".join(BLOCKED_WORDS)})([^a-z0-9]|$)') THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM fits""",
+    "op7_topk": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
+}
