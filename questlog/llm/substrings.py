@@ -17,7 +17,7 @@ from questlog.llm.lyndon import neighbour_matches, suffix_array
 from questlog.session import materialise
 
 #: Bytes of text in a block, and of passages in a shard; one is one task's memory.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 4 << 20
 #: Different passages around one anchor that share a shard; more are counted window by window.
 SHARD_PASSAGES = 8192

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ IDENTITY_TERMS = [
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the word beginnings that are features beside whole words; stems in inflected languages.
 STEMS = (5, 6, 7)
+#: Texts whose features a task holds at once.
+TEXTS_AT_ONCE = 200
 
 
 @dataclass(frozen=True)
@@ -79,12 +82,13 @@ def mates(groups: list[list[str]]) -> dict[str, str]:
     return {term: group[(k + 1) % len(group)] for group in groups for k, term in enumerate(group)}
 
 
-def fit_rows(rows: list[tuple[list[str], list[str], int]], chosen: list[str], training: Training) -> Model:
+def fit_rows(rows: list[tuple[list[str], list[str] | None, list[str] | None, int]], chosen: list[str], training: Training) -> Model:
     """Logistic regression by Newton steps on presence of the ``chosen`` features.
 
-    Rows are (features, features after the swap, label). Adds
-    ridge / 2 * |w|^2, and swap_penalty / 2 * (w . change)^2 for each text that
-    the swap changes. Without rows of both labels every score is next to that
+    Rows are (features, features with identity terms swapped for others, and
+    for a term without weight, or None where there are none, label). Adds
+    ridge / 2 * |w|^2, and swap_penalty / 2 * (w . change)^2 for either
+    change: the one makes groups alike, the other makes mentions of them neutral. Without rows of both labels every score is next to that
     label (0 rows: 0).
     """
     positives = sum(y for *_, y in rows)
@@ -94,13 +98,14 @@ def fit_rows(rows: list[tuple[list[str], list[str], int]], chosen: list[str], tr
     x = np.zeros((len(rows), len(chosen) + 1), dtype=np.float32)
     x[:, -1] = 1
     changes = []
-    for row, (own, swapped, _) in enumerate(rows):
+    for row, (own, *others, _) in enumerate(rows):
         x[row, [at[w] for w in own]] = 1
-        if own != swapped:
-            change = np.zeros(len(chosen) + 1)
-            change[[at[w] for w in swapped]] += 1
-            change[[at[w] for w in own]] -= 1
-            changes.append(change)
+        for other in others:
+            if other is not None and own != other:
+                change = np.zeros(len(chosen) + 1)
+                change[[at[w] for w in other]] += 1
+                change[[at[w] for w in own]] -= 1
+                changes.append(change)
     y = np.array([label for *_, label in rows], dtype=np.float64)
     fixed = np.diag([training.ridge] * len(chosen) + [1e-6])
     if changes:
@@ -136,16 +141,26 @@ def fit(
 
     stand_in = mates(training.groups)
 
-    @F.pandas_udf("own array<string>, swapped array<string>")
-    def both(texts: pd.Series) -> pd.DataFrame:
-        words = texts.map(words_of, na_action=None)
-        swapped = words.map(lambda own: own if stand_in.keys().isdisjoint(own) else {stand_in.get(w, w) for w in own})
-        return pd.DataFrame({"own": words.map(lambda w: sorted(features(w))), "swapped": swapped.map(lambda w: sorted(features(w)))})
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Features of each text, and after either swap where that changes them; few texts at a time."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                own, swapped, masked = [], [], []
+                for value in part.column(0):
+                    words = words_of(value.as_py())
+                    own.append(sorted(features(words)))
+                    same = stand_in.keys().isdisjoint(words)
+                    swapped.append(None if same else sorted(features({stand_in.get(w, w) for w in words})))
+                    masked.append(None if same else sorted(features(words - stand_in.keys())))
+                lists = [pa.array(x, pa.list_(pa.string())) for x in (own, swapped, masked)]
+                yield pa.record_batch([*lists, part.column(1)], ["own", "swapped", "masked", "y"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # The sample is bounded by training.rows.
-    rows = materialise(texts.join(F.broadcast(sample), "id").select(both("text").alias("found"), "y"), "labelled")
-    counts = rows.select(F.explode("found.own").alias("word"), "y").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
+    rows = texts.join(F.broadcast(sample), "id").select("text", "y")
+    rows = materialise(rows.mapInArrow(both, "own array<string>, swapped array<string>, masked array<string>, y int"), "labelled")
+    counts = rows.select(F.explode("own").alias("word"), "y").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
     every = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("k")).first()
     expected = F.col("n") * F.lit(every["k"] / max(1, every["n"]))
     telling = (F.col("k") - expected) * (F.col("k") - expected) / (expected + 1)
@@ -154,8 +169,9 @@ def fit(
     best = best.orderBy(F.desc(telling), "word").limit(training.words).select("word")
     chosen = sorted({r["word"] for r in best.collect()} | set(terms))
     wanted = F.array(*[F.lit(w) for w in chosen])
-    kept = rows.select(*[F.array_intersect(f"found.{c}", wanted).alias(c) for c in ("own", "swapped")], "y")
-    return fit_rows([tuple(r) for r in kept.collect()], chosen, training)
+    kept = rows.select(*[F.array_intersect(c, wanted).alias(c) for c in ("own", "swapped", "masked")], "y")
+    # in one order, so that sums and with them the model do not depend on tasks
+    return fit_rows(sorted((tuple(r) for r in kept.collect()), key=repr), chosen, training)
 
 
 def toxicity_score(model: Model, text: Column) -> Column:
