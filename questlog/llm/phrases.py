@@ -56,6 +56,21 @@ def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[first], np.diff(np.append(first, len(order)))
 
 
+def _among(one: np.ndarray, two: np.ndarray, wanted_one: np.ndarray, wanted_two: np.ndarray) -> np.ndarray:
+    """Whether each pair is one of the wanted pairs, which are distinct."""
+    found = np.isin(one, wanted_one)
+    order = np.argsort(wanted_one, kind="stable")
+    wanted_one, wanted_two = wanted_one[order], wanted_two[order]
+    rows = np.nonzero(found)[0]
+    low = np.searchsorted(wanted_one, one[rows])
+    alike = wanted_two[low] == two[rows]
+    # wanted pairs that share their first hash only
+    for row in rows[~alike]:
+        same = wanted_one == one[row]
+        found[row] = bool((wanted_two[same] == two[row]).any())
+    return found
+
+
 def _repeated(rows: DataFrame, *key: str) -> DataFrame:
     """(block, place) of the rows whose key comes twice in all; a key has at most a row per block."""
     total = F.sum("n").over(Window.partitionBy(*key))
@@ -132,9 +147,7 @@ def remove_repeats(
         row, words, places = block_of(left, right)
         starts, _ = words.windows()
         one, two = words.first.runs(window), words.second.runs(window)
-        pairs = np.stack([one[starts], two[starts]], axis=1).view([("one", np.uint64), ("two", np.uint64)]).reshape(-1)
-        wanted = np.stack([one[places], two[places]], axis=1).view(pairs.dtype).reshape(-1)
-        repeated = starts[np.isin(pairs, wanted)]
+        repeated = starts[_among(one[starts], two[starts], one[places], two[places])]
         gone = covered(len(words.numbers), repeated, repeated, window)
         kept, removed, at = [], [], 0
         for own in words.split:

@@ -2,9 +2,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from questlog.llm.phrases import remove_repeats
+from questlog.llm.phrases import _among, remove_repeats
 
 
 def plain(rows, window):
@@ -41,5 +42,14 @@ def test_few_words_repeat_in_many_ways(spark, tmp_path, window):
     assert seen(spark, rows, tmp_path, window, block_bytes=300) == plain(rows, window)
 
 
+def test_pairs_that_share_a_hash():
+    wanted = [(1, 5), (1, 6), (2, 5), (4, 4)]
+    pairs = [(a, b) for a in range(5) for b in range(8)]
+    got = _among(*(np.array([p[i] for p in ps], dtype=np.uint64) for ps in (pairs, wanted) for i in (0, 1)))
+    assert got.tolist() == [p in wanted for p in pairs]
+    none = np.zeros(0, dtype=np.uint64)
+    assert _among(none, none, none, none).tolist() == [] and not _among(none + 1, none, none, none).any()
+
+
 def test_no_rows(spark, tmp_path):
     assert seen(spark, [], tmp_path, 35) == []
