@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 #: A paragraph is a line; longer ones are cut at sentence ends and after this many characters.
 PARAGRAPH_CHARS = 160
-#: A sketch has three parts of so many cells; a digest lies in one cell of each.
-PART_CELLS = 8
+#: A sketch has three parts of so many cells, taken from bits of a digest; a digest lies in one cell of each.
 PARTS = 3
-#: Digests of both versions that one sketch of the larger layouts is to hold on average.
-DIGESTS_EACH = (8, 2)
+SMALL, LARGE = (3, 0), (5, 15)
+#: Digests of both versions that one sketch of the larger layout is to hold on average.
+DIGESTS_EACH = 12
 #: Rounds of peeling, each of which takes out all cells of a single digest.
-ROUNDS = 10
+ROUNDS = 6
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -23,54 +23,70 @@ def paragraph_digests(text: Column) -> Column:
     return F.array_distinct(F.transform(full, lambda p: F.xxhash64(p)))
 
 
-def _cell(digest: str, number: str) -> str:
-    """Whether a digest lies in a cell."""
-    return f"(shiftright({digest}, 5 * int({number} div {PART_CELLS})) & {PART_CELLS - 1}) = {number} % {PART_CELLS}"
+def _in_cell(digest: str, part: int, cell: str, bits: tuple[int, int]) -> str:
+    """Whether a digest lies in a cell of a part; ``bits`` are how many choose the cell and the first of them."""
+    return f"(shiftright({digest}, {bits[1] + bits[0] * part}) & {(1 << bits[0]) - 1}) = {cell}"
 
 
-def _sketch(digests: str) -> str:
+def _sketch(digests: str, bits: tuple[int, int] = SMALL) -> str:
     """Cells of a list of digests: how many, and the exclusive or of them and of their check digests."""
+    last = (1 << bits[0]) - 1
+    parts = [f"transform(sequence(0, {last}), i -> filter({digests}, d -> {_in_cell('d', p, 'i', bits)}))" for p in range(PARTS)]
     return f"""transform(
-        transform(sequence(0, {PARTS * PART_CELLS - 1}), i -> filter({digests}, d -> {_cell("d", "i")})),
+        concat({", ".join(parts)}),
         own -> named_struct(
             'n', size(own),
             'd', aggregate(own, 0L, (x, d) -> x ^ d),
             'c', aggregate(own, 0L, (x, d) -> x ^ xxhash64(d))))"""
 
 
-def _difference(a: str, b: str) -> str:
+def _difference(a: str, b: str, bits: tuple[int, int] = SMALL) -> str:
     """How many digests differ between two sketches, by peeling; null if that does not empty the cells."""
+    cells = 1 << bits[0]
     subtracted = f"zip_with({a}, {b}, (x, y) -> named_struct('n', x.n - y.n, 'd', x.d ^ y.d, 'c', x.c ^ y.c))"
     single = "array_distinct(filter(state.cells, x -> abs(x.n) = 1 AND x.c = xxhash64(x.d)))"
-    without = f"""transform(state.cells, (x, i) -> aggregate(
-        filter(taken, t -> {_cell("t.d", "i")}), x,
-        (rest, t) -> named_struct('n', rest.n - t.n, 'd', rest.d ^ t.d, 'c', rest.c ^ t.c)))"""
+    parts = [
+        f"""transform(slice(state.cells, {p * cells + 1}, {cells}), (x, i) -> if(x.d = 0 AND x.n = 0, x, aggregate(
+            filter(taken, t -> {_in_cell("t.d", p, "i", bits)}), x,
+            (rest, t) -> named_struct('n', rest.n - t.n, 'd', rest.d ^ t.d, 'c', rest.c ^ t.c))))"""
+        for p in range(PARTS)
+    ]
     peeled = f"""aggregate(sequence(1, {ROUNDS}), named_struct('cells', {subtracted}, 'found', 0),
         (state, round) -> transform(array({single}), taken ->
-            if(size(taken) = 0, state, named_struct('cells', {without}, 'found', state.found + size(taken))))[0])"""
+            if(size(taken) = 0, state, named_struct('cells', concat({", ".join(parts)}), 'found', state.found + size(taken))))[0])"""
     empty = "forall(done.cells, x -> x.n = 0 AND x.d = 0 AND x.c = 0)"
     return f"transform(array({peeled}), done -> if({empty}, done.found, NULL))[0]"
 
 
-def _difference_of_shares(a: str, b: str, each: int) -> str:
-    """The same over as many sketches as the digests need, each of those with equal bits; null if one does not peel."""
-    side = f"int(ceil(sqrt((size({a}) + size({b})) / {each}.0)))"
-    share = lambda of, by, bits, number: f"filter({of}, d -> pmod(shiftright(d, {bits}), {by}) = {number})"
-    own = _difference(_sketch(share("g.a", "side", 40, "k")), _sketch(share("g.b", "side", 40, "k")))
-    groups = f"transform(sequence(0, side - 1), j -> named_struct('a', {share(a, 'side', 20, 'j')}, 'b', {share(b, 'side', 20, 'j')}))"
-    found = f"flatten(transform({groups}, g -> transform(sequence(0, side - 1), k -> {own})))"
+def _counted(a: str, b: str) -> str:
+    return f"size(array_except({a}, {b})) + size(array_except({b}, {a}))"
+
+
+def _difference_of_shares(a: str, b: str) -> str:
+    """The same over as many sketches as the digests need, each of those with equal bits.
+
+    A sketch that does not peel is made anew with more cells from other bits;
+    should that fail too, the lists of its share are compared.
+    """
+    side = f"int(ceil(sqrt((size({a}) + size({b})) / {DIGESTS_EACH}.0)))"
+
+    def shares(of_a: str, of_b: str, bits: int) -> str:
+        one, other = (f"filter({x}, d -> pmod(shiftright(d, {bits}), side) = k)" for x in (of_a, of_b))
+        return f"transform(sequence(0, side - 1), k -> named_struct('a', {one}, 'b', {other}))"
+
+    tries = [_difference(_sketch("h.a", bits), _sketch("h.b", bits), bits) for bits in (SMALL, LARGE)]
+    own = f"transform({shares('g.a', 'g.b', 45)}, h -> coalesce({', '.join(tries)}, {_counted('h.a', 'h.b')}))"
+    found = f"flatten(transform({shares(a, b, 30)}, g -> {own}))"
     return f"transform(array({side}), side -> aggregate({found}, 0, (x, n) -> x + n))[0]"
 
 
 def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
     """Digests in one of the columns ``a`` and ``b`` only.
 
-    Peeled from the difference of the two sketches; where that fails, from
-    larger layouts of more sketches, and at last counted from the lists.
+    Peeled from the difference of the two sketches; where that fails, from a
+    larger layout of as many sketches as the digests need.
     """
-    larger = [_difference_of_shares(a, b, each) for each in DIGESTS_EACH]
-    counted = f"size(array_except({a}, {b})) + size(array_except({b}, {a}))"
-    return F.expr(f"coalesce({', '.join([_difference(sketch_a, sketch_b), *larger, counted])})")
+    return F.expr(f"if(size({a}) + size({b}) = 0, 0, coalesce({_difference(sketch_a, sketch_b)}, {_difference_of_shares(a, b)}))")
 
 
 def _written(sketch: str) -> Column:

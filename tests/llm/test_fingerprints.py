@@ -15,7 +15,7 @@ def digests(text):
 
 
 def sketch(text):
-    own = [[d for d in digests(text) if d >> 5 * (i // 8) & 7 == i % 8] for i in range(24)]
+    own = [[d for d in digests(text) if d >> 3 * (i // 8) & 7 == i % 8] for i in range(24)]
     return "-".join(f"{len(c)}.{reduce(xor, c, 0):x}" for c in own)
 
 
@@ -56,8 +56,11 @@ def test_matches_sets_of_digests(spark, partitions):
     assert prints[504] == sketch(long + "\nand one") and prints[500] == prints[501] == sketch("")
 
 
-def test_larger_sketches_are_tried_before_counting(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "DIGESTS_EACH", (64, 2))
+@pytest.mark.parametrize("each, large", [(64, (5, 15)), (300, (2, 15)), (3, (5, 15))])
+def test_larger_layouts(spark, monkeypatch, each, large):
+    """Sketches that are too full are made anew, and at last the lists are compared."""
+    monkeypatch.setattr(fingerprints, "DIGESTS_EACH", each)
+    monkeypatch.setattr(fingerprints, "LARGE", large)
     rows = [(i, "\n".join(f"{i % 3} {j}" for j in range(10 * i))) for i in range(8)]
     assert seen(fingerprints.edited_likeness(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows)
 
