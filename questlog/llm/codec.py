@@ -17,10 +17,12 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
 
 from questlog.llm.blocks import blocks
-from questlog.llm.pretokens import PARTS, Kept
+from questlog.llm.pretokens import Kept, cut, pre_tokens
 
 #: Bytes of text after which a block of rows is closed; one block is one task's memory.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
+#: Parts of a block's texts whose places are kept.
+BLOCK_PARTS = 1 << 20
 
 
 def read_ranks(rank_file: str) -> dict[bytes, int]:
@@ -38,20 +40,45 @@ def token_table(rank_file: str) -> pa.Array:
     return pa.array(table, pa.large_binary())
 
 
-def _indexed(texts: list[bytes], pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct pre-tokens, and for each text their places in that list, end to end with lengths."""
-    words: dict[str, int] = {}
-    find = pattern.findall
+def _words(texts: list[bytes], pattern) -> list[str]:
+    """Distinct pre-tokens in order."""
+    whole: set[str] = set()
+    after: set[str] = set()
+    for text in texts:
+        parts, spaced = cut(text.decode())
+        whole.update(parts)
+        after.update(spaced)
+    words = {w for part in whole for w in pre_tokens(part, pattern.findall)}
+    words.update(w for part in after for w in pre_tokens(" " + part, pattern.findall))
+    return sorted(words)
+
+
+def _places(texts: list[bytes], words: list[str], pattern) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the places of its pre-tokens in ``words``, end to end, and how many they are."""
+    index = {w: i for i, w in enumerate(words)}
 
-    def place(part: str) -> list[int]:
-        return [words.setdefault(w, len(words)) for w in find(part)]
+    def places_of(part: str) -> list[int]:
+        return [index[w] for w in pre_tokens(part, pattern.findall)]
 
-    kept, places, sizes = Kept(place), [], []
+    kept = Kept(places_of, BLOCK_PARTS)
+    after = Kept(lambda part: places_of(" " + part), BLOCK_PARTS)
+    places = []
     for text in texts:
-        own = np.fromiter(chain.from_iterable(map(kept.__getitem__, PARTS.findall(text.decode()))), dtype=np.uint32)
-        places.append(own)
-        sizes.append(len(own))
-    return list(words), np.concatenate(places), np.array(sizes, dtype=np.int64)
+        parts, spaced = cut(text.decode())
+        found = chain(map(kept.__getitem__, parts), map(after.__getitem__, spaced))
+        places.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32))
+    return np.concatenate(places), np.array([len(p) for p in places], dtype=np.int64)
+
+
+def _press(numbers: np.ndarray) -> bytes:
+    """Compressed 32-bit numbers; low and high bytes apart compress better."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(planes)
+
+
+def _unpress(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
 
 
 def encode(
@@ -84,7 +111,7 @@ def encode(
         """Distinct pre-tokens of each block with their places."""
         find = compiled()
         for key, _, texts in blocks(batches, block_bytes):
-            words, _, _ = _indexed(texts, find)
+            words = _words(texts, find)
             for at in range(0, len(words), 50_000):
                 part = words[at : at + 50_000]
                 yield pa.record_batch(
@@ -94,35 +121,52 @@ def encode(
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each block's rows with the places of their pre-tokens, in order."""
-        find, press = compiled(), zstandard.ZstdCompressor(level=3)
+        find = compiled()
         for key, ids, texts in blocks(batches, block_bytes):
-            words, places, sizes = _indexed(texts, find)
-            # low and high bytes apart compress better
-            planes = np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+            words = _words(texts, find)
+            places, sizes = _places(texts, words, find)
+            # frequent pre-tokens get the small numbers, which press well; equally frequent ones stay in order
+            order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable").astype(np.uint32)
+            number = np.empty(len(words), dtype=np.uint32)
+            number[order] = np.arange(len(words), dtype=np.uint32)
+            steps = np.diff(order, prepend=np.uint32(0))
             yield pa.RecordBatch.from_pydict(
-                {"block": pa.array([key]), "ids": pa.array([ids], pa.list_(id_type)), "sizes": pa.array([sizes]), "words": pa.array([len(words)], pa.int32()), "places": pa.array([press.compress(planes)], pa.binary())}
-            )
+                {
+                    "block": pa.array([key]), "ids": pa.array([ids], pa.list_(id_type)), "sizes": pa.array([sizes]),
+                    "words": pa.array([len(words)], pa.int32()), "places": pa.array([_press(number[places])], pa.binary()),
+                    "steps": pa.array([_press(steps)], pa.binary()),
+                }
+            )
+
+    ranks = max(read_ranks(rank_file).values())
+    width = np.dtype("<u2" if ranks < 1 << 16 else "<u4")
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids of each pre-token; equal ones come one after another."""
         encoder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(rank_file), special_tokens={})
+        last, codes = None, b""
         for batch in batches:
-            found = [encoder.encode_ordinary(w) for w in batch.column(0).to_pylist()]
-            yield pa.record_batch([pa.array(found, pa.list_(pa.int32())), batch.column(1)], ["codes", "uses"])
+            found = []
+            for word in batch.column("word").to_pylist():
+                if word != last:
+                    last, codes = word, np.array(encoder.encode_ordinary(word), dtype=width).tobytes()
+                found.append(codes)
+            yield pa.record_batch([batch.column("block"), batch.column("place"), pa.array(found, pa.binary())], ["block", "place", "codes"])
 
     def reassemble(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         table = token_table(rank_file)
         rows = {name: [] for name in ("id", "n_tokens", *names)}
         order = np.argsort(right.column("place").to_numpy())
-        codes = right.column("codes").combine_chunks().take(pa.array(order)) if right.num_rows else pa.array([], pa.list_(pa.int32()))
-        flat = codes.flatten().to_numpy().astype(np.int64)
-        lengths = np.diff(codes.offsets.to_numpy()) if len(codes) else np.zeros(0, dtype=np.int64)
-        starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        joined = [" ".join(map(str, c)) for c in codes.to_pylist()]
+        codes = right.column("codes").take(pa.array(order)).to_pylist()
+        lengths = np.array([len(c) // width.itemsize for c in codes], dtype=np.int64)
+        flat = np.frombuffer(b"".join(codes), dtype=width).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        joined = [" ".join(map(str, np.frombuffer(c, dtype=width).tolist())) for c in codes]
         for block in left.to_pylist():
             if block["words"] != len(codes):
                 raise ValueError("the input changed between two readings; store it first")
-            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(block["places"]), dtype=np.uint8)
-            places = np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4") if len(planes) else np.zeros(0, dtype="<u4")
+            order = np.cumsum(_unpress(block["steps"]), dtype=np.uint32)
+            places = order[_unpress(block["places"])]
             at = 0
             for row, size in zip(block["ids"], block["sizes"]):
                 own = places[at : at + size]
@@ -144,9 +188,8 @@ def encode(
     out_schema = StructType.fromDDL(out_ddl)
     names, schema = [f.name for f in out_schema][2:], to_arrow_schema(out_schema)
     words = source.mapInArrow(spread, "block long, place int, word string")
-    uses = words.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("uses"))
-    coded = uses.mapInArrow(encode_words, "codes array<int>, uses array<struct<block: long, place: int>>")
-    back = coded.select("codes", F.explode("uses").alias("use")).select("use.block", "use.place", "codes")
-    placed = source.mapInArrow(positions, f"block long, ids array<{kind}>, sizes array<long>, words int, places binary")
+    sorted_words = words.repartition("word").sortWithinPartitions("word")
+    back = sorted_words.mapInArrow(encode_words, "block long, place int, codes binary")
+    placed = source.mapInArrow(positions, f"block long, ids array<{kind}>, sizes array<long>, words int, places binary, steps binary")
     out = placed.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(reassemble, out_ddl)
     return out.withColumnRenamed("id", id_col)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from questlog.llm.pretokens import PARTS, Kept
+from questlog.llm.pretokens import Kept, cut, pre_tokens
 
 # Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -74,21 +74,25 @@ def token_counts(
             def count(part: str) -> int:
                 if max(part) >= NEWER:
                     return merged(part)
-                words = pattern.findall(part)
-                return sum(1 if w in whole else merged(w) for w in words)
+                return sum(1 if w in whole else merged(w) for w in pre_tokens(part, pattern.findall))
 
-            cut = regex.compile("|".join(map(regex.escape, special))) if special else None
-            state.update(kept=Kept(count), cut=cut)
-        return state["kept"], state["cut"]
+            specials = regex.compile("|".join(map(regex.escape, special))) if special else None
+            state.update(kept=Kept(count), after=Kept(lambda part: count(" " + part)), specials=specials)
+        return state["kept"], state["after"], state["specials"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, cut = counter()
+        kept, after, specials = counter()
+
+        def total(text: str) -> int:
+            parts, spaced = cut(text)
+            return sum(map(kept.__getitem__, parts)) + sum(map(after.__getitem__, spaced))
+
         for batch in batches:
             sizes, counts = [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
-                pieces = cut.split(text) if cut and "<" in text else [text]
-                counts.append(len(pieces) - 1 + sum(sum(map(kept.__getitem__, PARTS.findall(p))) for p in pieces))
+                pieces = specials.split(text) if specials and "<" in text else [text]
+                counts.append(len(pieces) - 1 + sum(map(total, pieces)))
                 sizes.append(len(text.encode()))
             yield pa.record_batch(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())],
