@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from questlog.llm.pretokens import Kept
+from questlog.llm.pretokens import STOPS, Kept
 from questlog.session import materialise
 
 #: Id after each document.
@@ -46,13 +46,19 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
         def encode(text: str) -> bytes:
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-        kept, end = Kept(encode), np.array([END], dtype="<u4").tobytes()
+        def encode_word(word: str) -> bytes:
+            # letters and a sign after them are encoded apart by the vocabulary too
+            if word[-1] in STOPS and word[:-1].isalpha():
+                return kept[word[:-1]] + kept[word[-1]]
+            return encode(word)
+
+        kept, end = Kept(encode_word), np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6)]
             origin = []
             for at, value in enumerate(batch.column(1)):
                 text = value.as_py() or ""
-                ids = (encode(text) if ODD.search(text) else b"".join(map(kept.__getitem__, text.split()))) + end
+                ids = (encode(text) if ODD.search(text) else b"".join(map(kept.__getitem__, text.lower().split()))) + end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[start : start + 4 * capacity]
                     length = len(own) // 4
@@ -65,6 +71,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
                 [batch.column(0).take(pa.array(origin, pa.int64())), *[pa.array(x, k) for x, k in zip(rows, kinds)]],
                 ["id", "piece", "start", "length", "ids_crc32", "part", "number"],
             )
+        # the table refers to itself through its function, so a reused worker would keep it
+        kept.clear()
 
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
