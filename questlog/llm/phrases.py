@@ -18,6 +18,8 @@ from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_
 BLOCK_BYTES = 4 << 20
 #: Words of the phrases that are looked for, of a window of 35.
 PHRASE_SHARE = 0.45
+#: Values of a digit of a word's number, of which each is a letter to the automaton.
+DIGIT = 256
 
 
 class Words:
@@ -41,10 +43,18 @@ class Words:
         starts = np.nonzero(inside(self.sizes, self.window))[0]
         return starts, anchors(self.phrases, self.window - self.phrase + 1)[starts]
 
-    def symbols(self) -> str:
-        """The words as one letter each."""
-        codes = np.where(self.numbers < 0xD800, self.numbers, self.numbers + 0x800)
-        return codes.astype("<u4").tobytes().decode("utf-32-le")
+    def symbols(self) -> tuple[str, int]:
+        """The words as letters, and how many letters a word is: the digits of its number.
+
+        There are as many digits as the largest number needs. Each place has
+        letters of its own, so runs of words match at starts of words only, and
+        few letters keep the automaton's nodes small.
+        """
+        digits = 1
+        while DIGIT**digits <= self.numbers.max(initial=0):
+            digits += 1
+        codes = [self.numbers // DIGIT**place % DIGIT + place * DIGIT for place in range(digits)]
+        return np.stack(codes, axis=1).astype("<u4").tobytes().decode("utf-32-le"), digits
 
 
 def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +135,14 @@ def remove_repeats(
     def count_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         row, words, places = block_of(left, right)
         starts, anchor = words.windows()
-        symbols, automaton = words.symbols(), ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        (symbols, digits), automaton = words.symbols(), ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for place in places.tolist():
-            automaton.add_word(symbols[place : place + words.phrase])
-        located = np.zeros(len(symbols) + 1, dtype=bool)
+            automaton.add_word(symbols[place * digits : (place + words.phrase) * digits])
+        located = np.zeros(len(words.numbers) + 1, dtype=bool)
         if len(places):
             automaton.make_automaton()
-            located[np.fromiter((end for end, _ in automaton.iter(symbols)), dtype=np.int64) - words.phrase + 1] = True
+            ends = np.fromiter((end for end, _ in automaton.iter(symbols)), dtype=np.int64)
+            located[(ends + 1) // digits - words.phrase] = True
         starts = starts[located[anchor]]
         one, two = words.first.runs(window)[starts], words.second.runs(window)[starts]
         first, often = _distinct(one, two)

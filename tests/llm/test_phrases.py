@@ -42,6 +42,15 @@ def test_few_words_repeat_in_many_ways(spark, tmp_path, window):
     assert seen(spark, rows, tmp_path, window, block_bytes=300) == plain(rows, window)
 
 
+def test_text_of_more_words_than_code_points(spark, tmp_path):
+    words = [str(i) for i in range(1_250_000)]
+    long = words + words[600_000:600_050] + ["between"] + words[-40:]
+    rows = [(1, " ".join(long)), (2, "other " + " ".join(words[70:100]))]
+    gone = set([*range(70, 100), *range(600_000, 600_050), *range(1_249_960, 1_250_050), *range(1_250_051, 1_250_091)])
+    kept = " ".join(w for i, w in enumerate(long) if i not in gone)
+    assert seen(spark, rows, tmp_path, 10) == [(1, len(long), len(gone), kept), (2, 31, 30, "other")]
+
+
 def test_pairs_that_share_a_hash():
     wanted = [(1, 5), (1, 6), (2, 5), (4, 4)]
     pairs = [(a, b) for a in range(5) for b in range(8)]
