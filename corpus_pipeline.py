@@ -41,7 +41,7 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     a null text becomes empty, and so does one that is all repeats.
     """
     others = [c for c in docs.columns if c != "text"]
-    cut = substrings.remove_repeats(docs.select(F.struct(*others).alias("row"), "text"), REPEATED_BYTES, id_col="row")
+    cut = substrings.remove_repeats(docs.select(F.struct(*others).alias("row"), "text"), REPEATED_BYTES, id_col="row", whole_characters=True)
 
     @F.pandas_udf("string")
     def whole_characters(kept: pd.Series) -> pd.Series:

@@ -116,14 +116,22 @@ def repeated_starts(grams: np.ndarray, leads: np.ndarray, often: np.ndarray, pas
     return list(zip(which[first].tolist(), start[first].tolist(), start[last].tolist()))
 
 
+def _to_characters(text: bytes, gone: np.ndarray) -> np.ndarray:
+    """``gone`` widened to all bytes of the UTF-8 characters that it cuts through."""
+    character = np.cumsum((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80)
+    return (np.bincount(character, weights=gone) > 0)[character]
+
+
 def remove_repeats(
-    docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """(``id_col``, n_bytes, n_removed, n_spans, kept) per row: texts without the bytes that repeated strings cover.
 
     A string of ``window`` bytes of one text's UTF-8 is repeated if it also
     starts anywhere else. ``kept`` holds the other bytes, n_spans counts the
-    runs removed.
+    runs removed. With ``whole_characters``, all bytes of a character that a
+    run cuts through are removed with it.
 
     1. Every window has an anchor, the short string of least hash in it, which
        equal windows share. Anchors are counted over all blocks of documents,
@@ -253,6 +261,8 @@ def remove_repeats(
         for text in texts:
             flags = gone[at : at + len(text)]
             at += len(text)
+            if whole_characters and not text.isascii():
+                flags = _to_characters(text, flags)
             removed.append(int(flags.sum()))
             spans.append(int(flags[:1].sum() + (flags[1:] & ~flags[:-1]).sum()))
             kept.append(np.frombuffer(text, dtype=np.uint8)[~flags].tobytes() if removed[-1] else text)

@@ -53,6 +53,15 @@ def test_stages_against_brute_force(spark, folder):
         assert own["offset"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]] and own["length"].sum() <= 2048
 
 
+def test_rests_of_cut_characters_do_not_join(spark):
+    # the repeated string is the bytes from A9 to C3: é and ĩ end in A9, à and á begin with C3
+    middle = " ".join(f"w{i}ü" for i in range(150))
+    rows = [(1, f"1é{middle}à2", 0), (2, f"3ĩ{middle}á4", 0), (3, "ü alone", 0)]
+    docs = corpus_pipeline.materialise(spark.createDataFrame(rows, "doc_id long, text string, n_chars int"), "cut")
+    got = sorted(map(tuple, corpus_pipeline.drop_repeated_strings(spark, docs, "").collect()))
+    assert got == [(1, "12", 2), (2, "34", 2), (3, "ü alone", 7)]
+
+
 def test_run_is_the_stages(spark, folder):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "suffix_array_dedup", "packing"]
     got = corpus_pipeline.run(spark, folder)
