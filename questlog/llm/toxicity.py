@@ -38,9 +38,10 @@ TEXTS_AT_ONCE = 200
 class Training:
     """Bounds and strengths of the fit.
 
-    About ``rows`` labelled texts, taken by a hash of their id, and the ``words``
-    most telling features among them bound what reaches the driver; both hold
-    at every size of the tables.
+    About ``rows`` labelled texts, copies included, taken by a hash of id, text
+    and label, and the ``words`` most telling features among them bound what
+    reaches the driver; both hold at every size of the tables and of a
+    repeated id.
     """
 
     rows: int = 20_000
@@ -82,23 +83,24 @@ def mates(groups: list[list[str]]) -> dict[str, str]:
     return {term: group[(k + 1) % len(group)] for group in groups for k, term in enumerate(group)}
 
 
-def fit_rows(rows: list[tuple[list[str], list[str] | None, list[str] | None, int]], chosen: list[str], training: Training) -> Model:
+def fit_rows(rows: list[tuple[list[str], list[str] | None, list[str] | None, int, int]], chosen: list[str], training: Training) -> Model:
     """Logistic regression by Newton steps on presence of the ``chosen`` features.
 
     Rows are (features, features with identity terms swapped for others, and
-    for a term without weight, or None where there are none, label). Adds
+    for a term without weight, or None where there are none, label, how often
+    the row counts). Adds
     ridge / 2 * |w|^2, and swap_penalty / 2 * (w . change)^2 for either
     change: the one makes groups alike, the other makes mentions of them neutral. Without rows of both labels every score is next to that
     label (0 rows: 0).
     """
-    positives = sum(y for *_, y in rows)
-    if positives in (0, len(rows)):
+    positives, total = sum(y * n for *_, y, n in rows), sum(n for *_, n in rows)
+    if positives in (0, total):
         return Model({}, 40.0 if positives else -40.0)
     at = {w: i for i, w in enumerate(chosen)}
     x = np.zeros((len(rows), len(chosen) + 1), dtype=np.float32)
     x[:, -1] = 1
-    changes = []
-    for row, (own, *others, _) in enumerate(rows):
+    changes, often = [], []
+    for row, (own, *others, _, n) in enumerate(rows):
         x[row, [at[w] for w in own]] = 1
         for other in others:
             if other is not None and own != other:
@@ -106,16 +108,18 @@ def fit_rows(rows: list[tuple[list[str], list[str] | None, list[str] | None, int
                 change[[at[w] for w in other]] += 1
                 change[[at[w] for w in own]] -= 1
                 changes.append(change)
-    y = np.array([label for *_, label in rows], dtype=np.float64)
+                often.append(n)
+    y = np.array([label for *_, label, _ in rows], dtype=np.float64)
+    times = np.array([n for *_, n in rows], dtype=np.float64)
     fixed = np.diag([training.ridge] * len(chosen) + [1e-6])
     if changes:
         stacked = np.array(changes)
-        fixed += training.swap_penalty * stacked.T @ stacked
+        fixed += training.swap_penalty * (stacked * np.array(often)[:, None]).T @ stacked
     w = np.zeros(x.shape[1])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        slope = x.T @ (p - y) + fixed @ w
-        curve = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x
+        slope = x.T @ (times * (p - y)) + fixed @ w
+        curve = (x * (times * p * (1 - p))[:, None].astype(np.float32)).T @ x
         step = np.linalg.solve(curve + fixed, slope)
         w -= step
         if np.abs(step).max() < 1e-5:
@@ -130,14 +134,26 @@ def fit(
     """Learns from the labelled rows that are not held out.
 
     Only the text is an input. Null labels and null ids teach nothing; of a
-    repeated id every row counts.
+    repeated id every pair of a label row and a document row counts.
+
+    Equal examples (id, text, label) are counted first. Each stays with its
+    share of ``training.rows``, rounded up or down by a hash of it: a large
+    group of copies is one weighted row, and a repeated id with many texts is
+    sampled like others.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     known = known.where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id")))
-    total = known.count()
+    votes = known.groupBy("id", "y").agg(F.count("*").alias("n"))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = texts.where(F.col("id").isNotNull()).withColumn("digest", F.xxhash64("text"))
+    copies = texts.groupBy("id", "digest").agg(F.count("*").alias("copies"))
+    examples = copies.join(votes, "id").select("id", "digest", "y", (F.col("n").cast("double") * F.col("copies")).alias("n"))
+    examples = materialise(examples, "examples")
+    total = examples.agg(F.sum("n")).first()[0] or 0
     space = 1 << 40
-    share = min(space, space * training.rows // max(1, total))
-    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(space)) < share)
+    chance = F.pmod(F.xxhash64("id", "digest", "y"), F.lit(space)) / F.lit(float(space))
+    weight = F.floor(F.col("n") * F.lit(min(1.0, training.rows / max(1, total))) + chance)
+    sample = examples.select("id", "digest", "y", weight.cast("long").alias("n")).where("n > 0")
 
     stand_in = mates(training.groups)
 
@@ -154,14 +170,13 @@ def fit(
                     swapped.append(None if same else sorted(features({stand_in.get(w, w) for w in words})))
                     masked.append(None if same else sorted(features(words - stand_in.keys())))
                 lists = [pa.array(x, pa.list_(pa.string())) for x in (own, swapped, masked)]
-                yield pa.record_batch([*lists, part.column(1)], ["own", "swapped", "masked", "y"])
-
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # The sample is bounded by training.rows.
-    rows = texts.join(F.broadcast(sample), "id").select("text", "y")
-    rows = materialise(rows.mapInArrow(both, "own array<string>, swapped array<string>, masked array<string>, y int"), "labelled")
-    counts = rows.select(F.explode("own").alias("word"), "y").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("k"))
-    every = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("k")).first()
+                yield pa.record_batch([*lists, part.column(1), part.column(2)], ["own", "swapped", "masked", "y", "n"])
+
+    # The sample's weights add up to about training.rows, so it has no more rows; copies of a document meet again.
+    rows = texts.join(F.broadcast(sample), ["id", "digest"]).select("id", "text", "y", "n").distinct().select("text", "y", "n")
+    rows = materialise(rows.mapInArrow(both, "own array<string>, swapped array<string>, masked array<string>, y int, n long"), "labelled")
+    counts = rows.select(F.explode("own").alias("word"), "y", "n").groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.col("y") * F.col("n")).alias("k"))
+    every = rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("y") * F.col("n")), F.lit(0)).alias("k")).first()
     expected = F.col("n") * F.lit(every["k"] / max(1, every["n"]))
     telling = (F.col("k") - expected) * (F.col("k") - expected) / (expected + 1)
     terms = sorted(features(set(stand_in)))
@@ -169,7 +184,7 @@ def fit(
     best = best.orderBy(F.desc(telling), "word").limit(training.words).select("word")
     chosen = sorted({r["word"] for r in best.collect()} | set(terms))
     wanted = F.array(*[F.lit(w) for w in chosen])
-    kept = rows.select(*[F.array_intersect(c, wanted).alias(c) for c in ("own", "swapped", "masked")], "y")
+    kept = rows.select(*[F.array_intersect(c, wanted).alias(c) for c in ("own", "swapped", "masked")], "y", "n")
     # in one order, so that sums and with them the model do not depend on tasks
     return fit_rows(sorted((tuple(r) for r in kept.collect()), key=repr), chosen, training)
 

@@ -45,6 +45,22 @@ def test_held_out_rows_teach_nothing(spark, slurs):
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(50)} | {None: False}
 
 
+def test_a_repeated_id_is_sampled_by_rows(spark, slurs, monkeypatch):
+    # half of the labelled documents have one id: one text often, and many texts
+    one = next(i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 5)
+    docs = [(i, t) for i, t, _ in slurs] + [(one, "waa copied text")] * 800 + [(one, f"wba text {i}") for i in range(700)]
+    labels = [(i, y) for i, _, y in slurs] + [(one, 1)] * 3
+    given = []
+    monkeypatch.setattr(toxicity, "fit_rows", lambda rows, *_: given.append(rows))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    known = labels.where(~toxicity.held_out(labels["doc_id"])).join(docs, "doc_id").count()
+    for rows in (100, 1000, 10_000):
+        toxicity.fit(docs, labels, Training(rows=rows))
+        taken, share = sum(r[-1] for r in given[-1]), min(1, rows / known)
+        assert abs(taken - rows) < 4 * rows**0.5 if share < 1 else taken == known
+        assert len(given[-1]) <= taken and any(abs(r[-1] - 2400 * share) <= 1 for r in given[-1])
+
+
 def test_odd_rows(spark):
     rows = [(None, "a", 1), (1, None, 1), (2, "", 0), (3, "bad word", 1), (3, "bad word", 1), (4, "good", None)] + [(10 + i, "fine text", 0) for i in range(9)]
     model = learn(spark, rows, least_texts=1)
