@@ -90,6 +90,11 @@ class Index:
         return members[top], scores[top].astype(np.int64)
 
 
+def dealt(rows: DataFrame, blocks: int) -> DataFrame:
+    """Rows of a written table with their ``block``, by hash of the id and the row's place, so copies of an id part."""
+    return rows.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+
+
 def top_k(
     vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
     factor: int = 256,
@@ -116,13 +121,13 @@ def top_k(
     blocks = max(1, -(-rows.count() // BLOCK_VECTORS))
     batches = max(1, -(-asked.count() // BATCH_QUERIES))
 
-    def numbered(rows: DataFrame, of: str, parts: int, other: str, others: int) -> DataFrame:
-        # of one type on both sides, as equal numbers of other types hash apart
-        own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias(of)
-        return rows.select("id", "vector", own, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+    def each(count: int, of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(of)
 
-    candidates = numbered(rows, "block", blocks, "batch", batches)
-    seekers = numbered(asked, "batch", batches, "block", blocks)
+    # of one type on both sides, as equal numbers of other types hash apart
+    batch = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")
+    candidates = dealt(rows, blocks).select("id", "vector", "block", each(batches, "batch"))
+    seekers = asked.select("id", "vector", batch, each(blocks, "block"))
 
     def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
         lists = column.combine_chunks()

@@ -45,3 +45,9 @@ def test_fewer_candidates_than_k_and_none(spark):
     assert [tuple(r) for r in topk.top_k(table, F.col("vec_id") % 50 == 0).collect()] == plain(rows, 5)
     assert topk.top_k(table.limit(0), F.col("vec_id") % 50 == 0).collect() == []
     assert topk.top_k(table.where("vec_id = 0"), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_copies_of_an_id_lie_in_all_blocks(spark):
+    rows = spark.createDataFrame([(7, [1, 2])] * 3000 + [(i, [i, 1]) for i in range(1000, 4000)], "id long, vector array<long>")
+    sizes = [r["count"] for r in topk.dealt(rows, 6).groupBy("block").count().collect()]
+    assert len(sizes) == 6 and sum(sizes) == 6000 and max(sizes) < 1200
