@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlog.llm import codec, fingerprints, packing, phrases, simhash, substrings, token_counts, topk, toxicity, url_filters
+from questlog.llm import (
+    codec,
+    conversation_trie,
+    filter_audit,
+    fingerprints,
+    lines,
+    packing,
+    phrases,
+    simhash,
+    substrings,
+    token_counts,
+    topk,
+    toxicity,
+    url_filters,
+)
 
 # Rules of the URL query, host and path.
 SITE_RULES = [
@@ -89,6 +103,19 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(conversation_trie.rebuilt_paths(_table(spark, sf_dir, "conversations")))
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.drop_frequent_lines(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_phrases": op2_phrases,
@@ -100,6 +127,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_substrings": op10_substrings,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_lines": op13_lines,
 }
 
 _LOWER_AZ = f"translate({{}}, '{url_filters.UPPER}', '{url_filters.LOWER}')"
@@ -159,4 +189,97 @@ scored AS (
 )
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5""",
+    "op11_filter_audit": r"""
+WITH flagged AS (
+  SELECT doc_id, ifnull(lang, '') AS part, ifnull(text, '') AS t,
+    regexp_extract_all(ifnull(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY ifnull(text, '')) AS least
+  FROM documents
+),
+masks AS (
+  SELECT doc_id, part,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+      + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * ifnull(doc_id > least, false)::INT AS mask
+  FROM flagged
+),
+named AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+  SELECT part, mask, count(*) AS docs, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM masks LEFT JOIN named USING (doc_id) GROUP BY part, mask
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, ifnull(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+per_step AS (
+  SELECT part, filter_order, step, bit,
+    sum(docs) FILTER (mask & (before | bit) = 0) AS kept,
+    sum(docs) FILTER (mask & bit <> 0 AND mask & before = 0) AS removed,
+    sum(docs) FILTER (mask & bit <> 0 AND mask & before <> 0) AS redundant,
+    sum(docs) FILTER (mask = bit) AS unique_fails,
+    sum(good) FILTER (mask & bit <> 0 AND mask & before = 0) AS good_lost,
+    sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, ifnull(kept, 0)::BIGINT AS kept, ifnull(removed, 0)::BIGINT AS removed,
+  ifnull(redundant, 0)::BIGINT AS redundant, ifnull(unique_fails, 0)::BIGINT AS unique_fails,
+  ifnull(good_lost, 0)::BIGINT AS good_lost, ifnull(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (sum(ifnull(removed, 0)) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM per_step""",
+    "op12_conversation_trie": """
+WITH turns AS (
+  SELECT conv_id, ifnull(role, '') AS role, ifnull(text, '') AS text, sha256(concat(length(ifnull(role, '')), ':', role, text)) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list({d: digest, n: length(text)} ORDER BY turn NULLS FIRST, digest) AS seq FROM turns GROUP BY conv_id
+),
+shared AS (
+  SELECT *, (xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))
+    ), 4294967295) % 6)::BIGINT AS h
+  FROM own
+),
+whole AS (
+  SELECT c.conv_id, list_concat(ifnull(b.seq[1:c.h], []), c.seq[c.h + 1:]) AS seq
+  FROM shared c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+),
+prefixes AS (
+  SELECT conv_id, d, array_to_string(list_transform(seq[1:d], lambda t: t.d), '') AS path, seq[d].n AS chars, len(seq) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM whole)
+),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(ifnull(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, d
+),
+below AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(c.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.path = n.path[:64 * (n.d - 1)] AND p.d = n.d - 1
+  LEFT JOIN nodes c ON c.d = n.d + 1 AND c.path[:64 * n.d] = n.path
+  GROUP BY ALL
+),
+sums AS (
+  SELECT path[:64 * up] AS top, up, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * ifnull(chars, 0)) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM below) GROUP BY ALL
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved::BIGINT AS saved_tokens, ends_sha256
+FROM below JOIN sums ON top = path AND up = d""",
+    "op13_lines": r"""
+WITH split AS (SELECT doc_id, string_split(ifnull(text, ''), chr(10)) AS lines FROM documents),
+keyed AS (
+  SELECT doc_id, p, line,
+    translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS p FROM split)
+),
+frequent AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.k) AS n_dropped, sha256(ifnull(string_agg(line, chr(10) ORDER BY p) FILTER (f.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f ON f.k = keyed.k GROUP BY doc_id""",
 }

@@ -1,0 +1,88 @@
+import hashlib
+import random
+from zlib import crc32
+
+import pytest
+
+from questlog.llm.conversation_trie import NODE_COLUMNS, prefix_trie, rebuilt_paths
+
+
+def plain_turns(rows):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn, role or "", text or ""))
+    for turns in own.values():
+        turns.sort(key=lambda t: (t[0], t[1] or 0, hashlib.sha256(f"{len(t[2])}:{t[2]}{t[3]}".encode()).hexdigest()))
+    own = {c: [t[2:] for t in turns] for c, turns in own.items()}
+    shared = {c: crc32(str(c).encode()) % 6 for c in own}
+    # the sign of a remainder is its dividend's, as in SQL
+    return {c: own.get(c - (abs(c) % 100) * (1 if c >= 0 else -1), [])[: shared[c]] + turns[shared[c] :] for c, turns in own.items()}
+
+
+def plain(rows):
+    whole = plain_turns(rows)
+    members = {}
+    for conv in sorted(whole):
+        for d in range(len(whole[conv]) + 1):
+            members.setdefault(tuple(whole[conv][:d]), []).append(conv)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children.get(node, [])
+        leaves[node] = sum(leaves[b] for b in below) or 1
+        saved[node] = sum(saved[b] for b in below) + ((len(members[node]) - 1) * len(node[-1][1]) if node else 0)
+    out = []
+    for node, own in members.items():
+        ends = ",".join(str(c) for c in own if len(whole[c]) == len(node))
+        above = members[node[:-1]][0] if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        out.append((own[0], len(node), above, len(own), len(children.get(node, [])), leaves[node], saved[node], digest))
+    return sorted(out, key=str)
+
+
+def seen(spark, rows, shards):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    df = df.selectExpr("*", "1 AS base", "2 AS h", "3 AS path", "4 AS turns", "5 AS `a.b`", "6 AS shard")
+    got = prefix_trie(rebuilt_paths(df), shards)
+    assert got.columns == NODE_COLUMNS and {t for _, t in got.dtypes} == {"bigint", "string"}
+    return sorted((tuple(r) for r in got.collect()), key=str)
+
+
+def sample():
+    rng = random.Random(3)
+    rows = []
+    for conv in [*range(0, 180), *range(1000, 1030), -7, -100, -205, 2**62]:
+        for turn in range(rng.choice([1, 1, 2, 5, 9])):
+            rows.append((conv, turn, rng.choice([None, "", "user", "assistant"]), rng.choice([None, "", "hé", "what", "why " * 3])))
+    rows += [(conv, turn, "user", f"copied {turn}") for conv in range(5000, 5400) for turn in range(7)]  # a third of all
+    rows += [(conv, 0, "user", f"first of many {conv}") for conv in range(7000, 7040)]
+    rows += [(9, None, "user", "no turn"), (9, None, "a", "no turn"), (9, 2, "x", "twice"), (9, 2, "x", "twice"), (None, 1, "user", "lost")]
+    rows += [(8000, turn, "user", "t" * (turn % 3)) for turn in range(3000)] + [(8001, 0, "user", "é" * 200000)]
+    return rows
+
+
+@pytest.mark.parametrize("shards", [1, 3, 40])
+def test_equals_brute_force(spark, shards):
+    rows = sample()
+    assert seen(spark, rows, shards) == plain(rows)
+
+
+def test_copies_of_one_conversation_are_dealt_over_shards(spark):
+    """Their leaf is a skeleton node, its ids come in order from several shards."""
+    rows = [(conv, turn, "user", f"turn {turn}") for conv in range(0, 60000, 100) for turn in range(40)]
+    got = seen(spark, rows, 8)
+    assert got == plain(rows) and max(r[3] for r in got) == 600
+
+
+def test_no_rows(spark):
+    assert seen(spark, [], 4) == [] and seen(spark, [(None, 1, "user", "x")], 4) == []
+
+
+def test_turnless_conversations_are_members_of_the_root(spark):
+    rows = [(c, 0, "user", "only") for c in (101, 103, 104, 105) if crc32(str(c).encode()) % 6]
+    got = seen(spark, rows, 2)
+    assert got == plain(rows) and len(got) == 1 and got[0][1] == 0 and got[0][5] == 1
