@@ -1,10 +1,11 @@
 """Builds every table once, in dependency order, and checks the result.
 
-    python -m questlog.plans.medallion EVENT_DROPS ASSIGNMENTS OUTPUT_ROOT
+    python -m questlog.plans.medallion [--multiline] EVENT_DROPS ASSIGNMENTS OUTPUT_ROOT
 """
 
 from __future__ import annotations
 
+import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,7 @@ def build(
     warehouse: Warehouse,
     partition_events: bool = False,
 ) -> DataFrame:
-    """Write all layers and the data-quality checks, and return the checks.
+    """Write all layers and the data-quality checks, and return the checks; ``warehouse.commit`` shows them.
 
     Every table is written once and read back, so no step repeats an earlier
     one and all marts see the same sessions. ``partition_events`` adds an
@@ -88,10 +89,10 @@ def run(
     output_root: str,
     multiline: bool = False,
 ) -> DataFrame:
-    """Build from CSV landing files and publish the tables to SQL.
+    """Build from CSV landing files, commit all tables in one step and publish them to SQL.
 
-    ``multiline`` allows line
-    breaks inside quoted fields, at the cost of one task per file.
+    A build that fails leaves the tables of the one before. ``multiline``
+    allows line breaks inside quoted fields, at the cost of one task per file.
     """
     warehouse = Warehouse(spark, output_root)
     with scratch_scope(spark):
@@ -100,6 +101,7 @@ def run(
             landing_csv.read_assignments(spark, assignments, multiline),
             warehouse,
         )
+        warehouse.commit()
     warehouse.publish()
     return checks
 
@@ -115,10 +117,16 @@ def size_shuffles(spark: SparkSession, *paths: str) -> int:
 
 
 def main(arguments: list[str]) -> int:
-    event_drops, assignments, output_root = arguments
+    parser = argparse.ArgumentParser(prog="medallion", description="Build the warehouse from CSV landing files.")
+    parser.add_argument("event_drops", help="files or folders of telemetry drops")
+    parser.add_argument("assignments", help="experiment export")
+    parser.add_argument("output_root", help="folder of the warehouse")
+    parser.add_argument("--multiline", action="store_true", help="take line breaks inside quoted fields")
+    given = parser.parse_args(arguments)
+    event_drops, assignments, output_root = given.event_drops, given.assignments, given.output_root
     spark = build_session("questlog-build")
     size_shuffles(spark, event_drops, assignments)
-    checks = run(spark, event_drops, assignments, output_root)
+    checks = run(spark, event_drops, assignments, output_root, given.multiline)
     row_report(Warehouse(spark, output_root)).show(truncate=False)
     checks.show(100, truncate=False)
     return 0 if quality.verdict(checks).first()["all_passed"] else 1

@@ -213,9 +213,68 @@ def test_events_by_day_layout(spark, tmp_path):
         warehouse,
         partition_events=True,
     )
+    warehouse.commit()
     warehouse.publish()
     one_day = spark.table("silver.events_clean").where("event_date = '2024-01-02'")
     assert one_day.count() == 1
     assert "PartitionFilters: [isnotnull(event_date" in (
         one_day._jdf.queryExecution().executedPlan().toString()
     )
+
+
+def test_failed_build_leaves_the_tables_of_the_one_before(spark, tmp_path, monkeypatch):
+    _landing_zone(tmp_path)
+    out = str(tmp_path / "warehouse")
+    args = [str(tmp_path / "landing" / "events_*.csv"), str(tmp_path / "assignments.csv"), out]
+    medallion.run(spark, *args)
+    before = {t: spark.table(t).collect() for t in ("silver.events_clean", "gold.mart_ltv_curve")}
+    reader = Warehouse(spark, out)
+
+    _write(tmp_path / "landing" / "events_2024-01-03.csv", ",".join(EVENT_COLUMNS) + "\nnew,app_open,2024-01-03 10:00:00,2,ios,US,1.44.0,d,,,,\n")
+    with monkeypatch.context() as broken:
+        broken.setattr(medallion.engagement, "segment_summary", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            medallion.run(spark, *args)
+    for table, rows in before.items():
+        assert spark.table(table).collect() == Warehouse(spark, out).read(table).collect() == rows
+
+    # the next build shows all its tables, and the last one's folders stay for those who read them
+    medallion.run(spark, *args)
+    assert spark.table("silver.events_clean").count() == 5
+    assert reader.read("silver.events_clean").count() == 4
+    medallion.run(spark, *args)
+    assert len(list((tmp_path / "warehouse" / "silver" / "events_clean").iterdir())) == 2
+    assert len([p for p in (tmp_path / "warehouse" / "_snapshots").iterdir() if p.name.endswith("json")]) == 2
+
+
+def test_only_one_of_two_builds_commits(spark, tmp_path):
+    one, two = (Warehouse(spark, str(tmp_path / "w")) for _ in range(2))
+    for n, warehouse in enumerate((one, two)):
+        warehouse.write("gold.t", spark.range(n + 1))
+    one.commit()
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.commit()
+    assert Warehouse(spark, str(tmp_path / "w")).read("gold.t").count() == 1
+    with pytest.raises(FileNotFoundError):
+        Warehouse(spark, str(tmp_path / "w")).read("gold.none")
+
+
+def test_empty_partitioned_table_is_published(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    warehouse.write("gold.nothing", spark.sql("SELECT 1L AS a, DATE'2024-01-01' AS day WHERE false"), "day")
+    warehouse.commit()
+    warehouse.publish()
+    assert spark.table("gold.nothing").count() == 0 and spark.table("gold.nothing").dtypes == [("a", "bigint"), ("day", "date")]
+    spark.sql("DROP VIEW gold.nothing")
+
+
+def test_line_breaks_from_the_command_line(spark, tmp_path, monkeypatch):
+    _landing_zone(tmp_path)
+    first = tmp_path / "landing" / "events_2024-01-01.csv"
+    first.write_text(first.read_text().replace("gems_medium", '"gems\nmedium"'))
+    monkeypatch.setattr(medallion, "build_session", lambda name: spark)
+    args = [str(tmp_path / "landing" / "events_*.csv"), str(tmp_path / "assignments.csv"), str(tmp_path / "warehouse")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        medallion.main(args)
+    assert medallion.main(["--multiline", *args]) == 0
+    assert spark.table("silver.events_clean").where("product_id = 'gems\nmedium'").count() == 1
