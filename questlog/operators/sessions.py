@@ -63,23 +63,34 @@ def dated(attribute: str, time: str) -> Column:
     )
 
 
-def _earliest(attribute: str) -> Column:
-    """Value of the earliest event carrying one, smallest on a tie."""
-    return F.min(attribute)["value"].alias(attribute)
-
-
-def measures() -> list[Column]:
+def _sums() -> list[Column]:
+    """What spans of one session add up to, again a span."""
     return [
-        F.min("first_time").alias("session_start"),
-        F.max("last_time").alias("session_end"),
-        F.sum("events").alias("event_count"),
-        F.coalesce(F.sum("rounds"), F.lit(0)).alias("rounds_played"),
-        F.coalesce(exact_sum(F.col("revenue")), F.lit(0.0)).alias("revenue_usd"),
-        F.sum("purchases").alias("purchase_count"),
-        *[_earliest(a) for a in ATTRIBUTES],
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+        F.sum("events").alias("events"),
+        F.sum("rounds").alias("rounds"),
+        exact_sum(F.col("revenue")).alias("revenue"),
+        F.sum("purchases").alias("purchases"),
+        *[F.min(a).alias(a) for a in ATTRIBUTES],
     ]
 
 
+def _measures(parts: DataFrame) -> DataFrame:
+    """Sums under the names of the sessions table."""
+    names = {
+        "session_start": F.col("first_time"),
+        "session_end": F.col("last_time"),
+        "event_count": F.col("events"),
+        "rounds_played": F.coalesce("rounds", F.lit(0)),
+        "revenue_usd": F.coalesce("revenue", F.lit(0.0)),
+        "purchase_count": F.col("purchases"),
+        # value of the earliest event carrying one, smallest on a tie
+        **{a: F.col(a)["value"] for a in ATTRIBUTES},
+    }
+    return parts.withColumns(names)
+
+
 def finish(sessions: DataFrame) -> DataFrame:
     duration = second_diff(F.col("session_start"), F.col("session_end"))
     return sessions.withColumns(
@@ -90,50 +101,62 @@ def finish(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _timed_sessions(events: DataFrame, gap_minutes: int) -> DataFrame:
-    """Sessions of events with a time, numbered ``seq`` per user from 1.
+def _joined(spans: DataFrame, gap_minutes: int) -> DataFrame:
+    """Spans of a user that lie within the gap of one another as one, numbered ``seq`` per user from 1.
 
-    Two shuffles: the minute rollup (after map-side sums) and the users. The
-    numbering and the session sums share the second one.
+    They may overlap and come in any order. The numbering and the sums share
+    one shuffle, of the users.
     """
-    in_order = Window.partitionBy("userid").orderBy("minute")
+    in_order = Window.partitionBy("userid").orderBy("first_minute", "last_minute")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    silence = F.col("minute") - F.lag("minute").over(in_order)
-    starts = F.when(silence <= gap_minutes, 0).otherwise(1)
+    silence = F.col("first_minute") - F.max("last_minute").over(earlier)
     return (
-        minute_rollup(events)
-        .withColumn("starts", starts)
+        spans.withColumn("starts", F.when(silence <= gap_minutes, 0).otherwise(1))
         .withColumn("seq", F.sum("starts").over(so_far))
         .groupBy("userid", "seq")
-        .agg(*measures())
+        .agg(
+            F.min("first_minute").alias("first_minute"),
+            F.max("last_minute").alias("last_minute"),
+            *_sums(),
+        )
     )
 
 
-def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
-    """Events without a time come last: a user's first one belongs to the user's
-    last session, every other one is a session of its own.
+def _minutes(events: DataFrame) -> DataFrame:
+    """The rollup's minutes as spans. Events without a time are none."""
+    rolled = minute_rollup(events.where(F.col("event_time").isNotNull()))
+    return rolled.withColumn("first_minute", F.col("minute")).withColumnRenamed("minute", "last_minute")
 
-    First is by a hash of the event id, whose digits spread even a single
-    user's events over many tasks when their places are counted. The number of
-    the last session is counted along, as the weight of a row put in front.
-    """
-    # Text instead of a number, as a missing user id must meet itself in joins.
-    user = F.coalesce(F.col("userid").cast("string"), F.lit("")).alias("user")
+
+def _untimed(events: DataFrame) -> DataFrame:
+    """Events without a time, as spans without minutes under their event id."""
     time = F.lit(None).cast("timestamp_ntz")
-    rows = untimed.select(
-        user,
+    return events.where(F.col("event_time").isNull()).select(
         "userid",
-        F.conv(F.substring(F.md5("event_id"), 1, 15), 16, 10).cast("bigint").alias("place"),
-        F.lit(1).alias("is_event"),
         "event_id",
-        F.lit(1).cast("bigint").alias("events"),
         time.alias("first_time"),
         time.alias("last_time"),
+        F.lit(1).cast("bigint").alias("events"),
         F.col("rounds_completed").cast("bigint").alias("rounds"),
         F.col("revenue_usd").alias("revenue"),
         _is_purchase().alias("purchases"),
         *[dated(a, "event_time").alias(a) for a in ATTRIBUTES],
     )
+
+
+def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
+    """Events without a time come last: a user's first one belongs to the user's
+    last session, every other one is a session of its own.
+
+    First is by a hash of the event id, whose digits spread even a single
+    user's events over many tasks when their places are counted. The number of
+    the last session is counted along, as the weight of a row put in front.
+    """
+    # Text instead of a number, as a missing user id must meet itself in joins.
+    user = F.coalesce(F.col("userid").cast("string"), F.lit("")).alias("user")
+    place = F.conv(F.substring(F.md5("event_id"), 1, 15), 16, 10).cast("bigint")
+    rows = untimed.withColumns({"user": user, "place": place, "is_event": F.lit(1)})
     earlier = timed.groupBy(user).agg((F.max("seq") - 1).alias("events"))
     earlier = earlier.withColumns(
         {"place": F.lit(-(2**63)).cast("bigint"), "is_event": F.lit(0)}
@@ -146,19 +169,21 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
         ("is_event", "event_id"),
     )
     numbered = placed.where("is_event = 1").withColumn("seq", F.col("before") + 1)
-    names = {
-        "events": "event_count",
-        "first_time": "session_start",
-        "last_time": "session_end",
-        "rounds": "rounds_played",
-        "revenue": "revenue_usd",
-        "purchases": "purchase_count",
-    }
-    columns = ["userid", "seq", *names, *ATTRIBUTES]
-    as_parts = timed.withColumnsRenamed({new: old for old, new in names.items()})
-    as_parts = as_parts.withColumns({a: dated(a, "first_time") for a in ATTRIBUTES})
-    parts = as_parts.select(*columns).unionByName(numbered.select(*columns))
-    return parts.groupBy("userid", "seq").agg(*measures())
+    columns = ["userid", "seq", "first_time", "last_time", "events", "rounds", "revenue", "purchases", *ATTRIBUTES]
+    parts = timed.select(*columns).unionByName(numbered.select(*columns))
+    return parts.groupBy("userid", "seq").agg(*_sums())
+
+
+def _numbered(timed: DataFrame, untimed: DataFrame) -> DataFrame:
+    """The sessions table from joined spans and events without a time.
+
+    The latter need further steps, which depend on whether there are any.
+    """
+    if not untimed.isEmpty():
+        timed = _add_untimed(materialise(timed, "timed-sessions"), untimed)
+    session_id = F.concat_ws("-", "userid", "seq")
+    session_id = F.when(F.col("userid").isNotNull(), session_id)
+    return finish(_measures(timed).withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
 
 
 def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
@@ -166,14 +191,32 @@ def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
 
     ``events`` has one row per event id and should be a stored table: it is
     looked through once for events without a time, which need further steps.
+    Two shuffles: the minute rollup (after map-side sums) and the users.
     """
-    untimed = events.where(F.col("event_time").isNull())
-    timed = _timed_sessions(events.where(F.col("event_time").isNotNull()), gap_minutes)
-    if untimed.agg(F.count("*")).first()[0]:
-        timed = _add_untimed(materialise(timed, "timed-sessions"), untimed)
-    session_id = F.concat_ws("-", "userid", "seq")
-    session_id = F.when(F.col("userid").isNotNull(), session_id)
-    return finish(timed.withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
+    return _numbered(_joined(_minutes(events), gap_minutes), _untimed(events))
+
+
+def spans(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """What a set of events knows of sessions: state that later events can be merged with.
+
+    A row is a user's stretch of events without a gap, or an event without a
+    time; ``sessions_of_spans`` makes sessions of any number of such sets.
+    """
+    timed = _joined(_minutes(events), gap_minutes).drop("seq")
+    return timed.unionByName(_untimed(events), allowMissingColumns=True)
+
+
+def merge_spans(rows: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """Fewer spans that stand for the same events."""
+    timed = _joined(rows.where("first_minute IS NOT NULL"), gap_minutes).drop("seq")
+    return timed.unionByName(rows.where("first_minute IS NULL"), allowMissingColumns=True)
+
+
+def sessions_of_spans(rows: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """The sessions of all events that the spans stand for, as ``sessions`` gives them."""
+    return _numbered(_joined(rows.where("first_minute IS NOT NULL"), gap_minutes), rows.where("first_minute IS NULL").select(
+        "userid", "event_id", "first_time", "last_time", "events", "rounds", "revenue", "purchases", *ATTRIBUTES
+    ))
 
 
 def sessions_by_session_window(
@@ -188,6 +231,6 @@ def sessions_by_session_window(
     window = F.session_window(
         minute_floor(F.col("first_time")), f"{gap_minutes} minutes"
     )
-    rolled = minutes.groupBy("userid", window.alias("span")).agg(*measures())
+    rolled = minutes.groupBy("userid", window.alias("span")).agg(*_sums())
     columns = [c for c in SESSION_COLUMNS if c != "session_id"]
-    return finish(rolled).select(*columns)
+    return finish(_measures(rolled)).select(*columns)

@@ -23,6 +23,7 @@ from questlog.plans.store import Store
 from questlog.session import scratch_dir
 from questlog.sources import landing_csv
 from questlog.sources.landing_csv import ASSIGNMENT_COLUMNS, EVENT_COLUMNS, drop_date
+from questlog.sources.snapshots import BatchTable
 from questlog.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,12 +96,12 @@ class _StreamFolders:
     def land(self, rows: DataFrame) -> None:
         landing_csv.land_by_drop_date(rows, self.landing)
 
-    def run(self, job: Callable[[DataFrame, int], None]) -> DataFrame:
+    def run(self, job: Callable[[DataFrame, int, str], None]) -> DataFrame:
         """Run a job on what landed since its last run; the whole table so far."""
         jobs.run_available(self.spark, self.landing, self.checkpoint, job)
-        return self.spark.read.parquet(self.table)
+        return BatchTable(self.spark, self.table).read()
 
-    def run_in_two(self, job: Callable[[DataFrame, int], None]) -> DataFrame:
+    def run_in_two(self, job: Callable[[DataFrame, int, str], None]) -> DataFrame:
         """Two runs; the second sees the later drops only."""
         first_half = F.coalesce(F.dayofmonth(drop_date()) <= 15, F.lit(True))
         for drops in (self.raw.where(first_half), self.raw.where(~first_half)):
@@ -116,7 +117,7 @@ def _stream_incremental_load(s: Store) -> DataFrame:
 
 def _stream_dedup(s: Store) -> DataFrame:
     folders = _StreamFolders(s)
-    return folders.run_in_two(jobs.append_new_events(folders.table)).drop("batch")
+    return folders.run_in_two(jobs.append_new_events(folders.table))
 
 
 def _stream_sessions(s: Store) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A stream of new landing files drives each job (``availableNow``): Spark's
 checkpoint remembers the files, a bounded number of them makes one batch, and
-each batch writes a folder ``batch=N`` that a repeated batch replaces. The
-tables written are the state, so nothing is lost however late it comes.
+each batch becomes a part of a ``BatchTable``, once however often it is tried.
+The tables are the state, so nothing is lost however late it comes, and their
+parts are merged as they grow, so a batch does not read or list all before it.
 """
 
 from __future__ import annotations
@@ -12,12 +13,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from questlog.operators.bronze import land
-from questlog.operators.events import CLEAN_COLUMNS, events_clean
-from questlog.operators.sessions import SESSION_COLUMNS, sessions
+from questlog.operators.events import events_clean
+from questlog.operators.sessions import merge_spans, sessions_of_spans, spans
+from questlog.session import materialise
 from questlog.sources.landing_csv import read_event_drops
+from questlog.sources.snapshots import BatchTable
+from questlog.streaming.seen import SeenIds
 
 #: Files of one batch; their paths are all that reaches the driver.
 FILES_PER_BATCH = 1000
@@ -30,12 +34,12 @@ def run_available(
     spark: SparkSession,
     landing: str,
     checkpoint: str,
-    job: Callable[[DataFrame, int], None],
+    job: Callable[[DataFrame, int, str], None],
     files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Give the rows of the files not seen before to ``job(raw, batch)`` and stop.
+    """Give the rows of the files not seen before to ``job(raw, batch, stream)`` and stop.
 
-    Columns are matched by header name, file by file, as in the batch load.
+    ``stream`` names the checkpoint that numbers the batches. Columns are matched by header name, file by file, as in the batch load.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -49,8 +53,9 @@ def run_available(
 
     def batch(new: DataFrame, number: int) -> None:
         paths = [r["path"] for r in new.collect()]
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         if paths:
-            job(land(read_event_drops(new.sparkSession, paths)), number)
+            job(land(read_event_drops(new.sparkSession, paths)), number, stream)
 
     query = (
         files.writeStream.foreachBatch(batch)
@@ -61,68 +66,66 @@ def run_available(
     query.awaitTermination()
 
 
-def _folder(table: str, batch: int) -> str:
-    return f"{table}/batch={batch}"
-
-
-def append_raw(table: str) -> Callable[[DataFrame, int], None]:
+def append_raw(table: str, fan_in: int = 8) -> Callable[[DataFrame, int, str], None]:
     """Job that appends landed rows to a table."""
 
-    def job(raw: DataFrame, batch: int) -> None:
-        raw.write.mode("overwrite").parquet(_folder(table, batch))
+    def job(raw: DataFrame, batch: int, stream: str) -> None:
+        BatchTable(raw.sparkSession, table, fan_in).append(raw, batch, stream)
 
     return job
 
 
-def _of_batches(
-    spark: SparkSession, table: str, schema: StructType, condition: str
-) -> DataFrame:
-    whole = StructType([*schema.fields, StructField("batch", IntegerType())])
-    return spark.read.schema(whole).parquet(table).where(condition)
-
+def _take_new(
+    raw: DataFrame, batch: int, stream: str, table: str, then: Callable[[DataFrame], None]
+) -> None:
+    """Append the batch's new events to the table, and give them to ``then``.
 
-def append_new_events(table: str) -> Callable[[DataFrame, int], None]:
+    Their ids are added last. A batch that is tried again after a crash thus
+    finds the same events new, and what it has added already stays as it is.
+    """
+    spark = raw.sparkSession
+    known = SeenIds(spark, f"{table}-ids")
+    if known.table.has(batch, stream):
+        return
+    clean = materialise(events_clean(raw), "batch-events")
+    new = materialise(known.unseen(clean, "event_id"), "new-events")
+    BatchTable(spark, table).append(new, batch, stream)
+    then(new)
+    known.add(new, "event_id", batch, stream)
+
+
+def append_new_events(table: str) -> Callable[[DataFrame, int, str], None]:
     """Job that appends the events whose id no earlier batch had.
 
-    One row per id and batch as in ``events_clean``; earlier ids are read from
-    the table itself, one column of it. The first delivery is kept whenever it
-    comes, with or without a time.
+    One row per id and batch as in ``events_clean``. Ids of earlier batches are
+    kept in ``SeenIds`` beside the table, of which a batch opens the buckets
+    that may hold its ids. The first delivery is kept whenever it comes, with
+    or without a time.
     """
 
-    def job(raw: DataFrame, batch: int) -> None:
-        clean = events_clean(raw)
-        if batch:
-            earlier = _of_batches(raw.sparkSession, table, clean.schema, f"batch < {batch}")
-            earlier = earlier.select(F.col("event_id").alias("seen"))
-            clean = clean.join(earlier, F.col("event_id").eqNullSafe(F.col("seen")), "left_anti")
-        clean.write.mode("overwrite").parquet(_folder(table, batch))
+    def job(raw: DataFrame, batch: int, stream: str) -> None:
+        _take_new(raw, batch, stream, table, lambda new: None)
 
     return job
 
 
-def append_sessions(events_table: str, table: str) -> Callable[[DataFrame, int], None]:
-    """Job that appends new events, and the sessions of the users that had any.
+def append_sessions(events_table: str, table: str) -> Callable[[DataFrame, int, str], None]:
+    """Job that appends new events, and their spans to the state of the sessions.
 
-    Their sessions are made anew from all their events, so late ones find their
-    place; ``latest_sessions`` reads the last version of each user.
+    A span is what one batch knows of a session: its first and last minute and
+    the sums between. Spans of a user that lie within the gap of one another
+    are one session, in whatever order they come, so a late event joins or
+    bridges sessions without a look at earlier events or spans. Parts are
+    merged to longer spans; ``latest_sessions`` merges what is left.
     """
-    add_events = append_new_events(events_table)
 
-    def job(raw: DataFrame, batch: int) -> None:
-        add_events(raw, batch)
-        schema = raw.sparkSession.read.parquet(_folder(events_table, batch)).schema
-        events = _of_batches(raw.sparkSession, events_table, schema, f"batch <= {batch}")
-        users = events.where(f"batch = {batch}").select(F.col("userid").alias("touched")).distinct()
-        whole = events.join(users, F.col("userid").eqNullSafe(F.col("touched")), "left_semi")
-        made = sessions(whole.select(*CLEAN_COLUMNS))
-        made.write.mode("overwrite").parquet(_folder(table, batch))
+    def job(raw: DataFrame, batch: int, stream: str) -> None:
+        state = BatchTable(raw.sparkSession, table)
+        _take_new(raw, batch, stream, events_table, lambda new: state.append(spans(new), batch, stream, merge_spans))
 
     return job
 
 
 def latest_sessions(spark: SparkSession, table: str) -> DataFrame:
-    """The sessions of each user as of the last batch that had events of the user."""
-    versions = spark.read.parquet(table)
-    last = versions.groupBy(F.col("userid").alias("user")).agg(F.max("batch").alias("last"))
-    same = F.col("userid").eqNullSafe(F.col("user")) & (F.col("batch") == F.col("last"))
-    return versions.join(last, same, "left_semi").select(*SESSION_COLUMNS)
+    """The sessions of all events so far."""
+    return sessions_of_spans(BatchTable(spark, table).read())
