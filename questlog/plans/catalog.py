@@ -68,17 +68,22 @@ def _checks(s: Store) -> DataFrame:
 
 
 def _csv_union_by_name(s: Store) -> DataFrame:
-    """Land the raw rows under two headers, read them back by column name."""
+    """Land the raw rows under two headers by drop, read them back by column name and show where each came from."""
     landing = scratch_dir(s.spark, "landing")
-    raw = s.raw_events.select(*EVENT_COLUMNS)
+    raw = s.raw_events.select(*EVENT_COLUMNS, F.col("_source_file").alias("drop_file"))
     is_purchase = F.coalesce(F.col("event_name") == "purchase", F.lit(False))
     others = [c for c in reversed(EVENT_COLUMNS) if c not in _PURCHASE_COLUMNS]
-    folders = [f"{landing}/purchases", f"{landing}/others"]
-    raw.where(is_purchase).write.csv(folders[0], header=True, escape='"')
-    raw.where(~is_purchase).select(*others).write.csv(
-        folders[1], header=True, escape='"'
+    kinds = {"purchases": (is_purchase, EVENT_COLUMNS), "others": (~is_purchase, others)}
+    for kind, (chosen, columns) in kinds.items():
+        rows = raw.where(chosen).select(*columns, "drop_file").hint("rebalance", "drop_file")
+        rows.write.partitionBy("drop_file").csv(f"{landing}/{kind}", header=True, escape='"')
+    back = landing_csv.read_event_drops(s.spark, [f"{landing}/{kind}" for kind in kinds])
+    return back.select(
+        *EVENT_COLUMNS,
+        F.regexp_extract("filename", "/(purchases|others)/", 1).alias("kind"),
+        F.regexp_extract("filename", "/drop_file=([^/]*)/[^/]*$", 1).alias("drop_file"),
+        (F.regexp_extract("filename", "([^/]+)$", 1) == F.col("_source_file")).alias("file_is_last_part"),
     )
-    return landing_csv.read_event_drops(s.spark, folders).select(*EVENT_COLUMNS)
 
 
 class _StreamFolders:

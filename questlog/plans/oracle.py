@@ -260,7 +260,13 @@ SELECT 'bronze.raw_events' AS table_name, count(*) AS row_count FROM raw
 UNION ALL SELECT 'bronze.raw_experiment_assignments', count(*) FROM assigned""",
         _ASSIGNED,
     ),
-    "csv_union_by_name": _sql(f"SELECT {_EVENT_COLUMNS} FROM raw", _TELEMETRY),
+    "csv_union_by_name": _sql(
+        f"""
+SELECT {_EVENT_COLUMNS}, CASE WHEN event_name = 'purchase' THEN 'purchases' ELSE 'others' END AS kind,
+  _source_file AS drop_file, true AS file_is_last_part
+FROM raw""",
+        _TELEMETRY,
+    ),
     "events_clean": _sql("SELECT * FROM clean", _CLEAN),
     "sessions": _sql("SELECT * FROM sess", _SESSIONS),
     # the built-in window leaves out events without a time

@@ -21,7 +21,7 @@ from questlog.operators.sessions import merge_spans, sessions_of_spans, spans
 from questlog.session import materialise
 from questlog.sources.landing_csv import read_event_drops
 from questlog.sources.snapshots import BatchTable
-from questlog.streaming.seen import SeenIds
+from questlog.streaming.seen import BUCKETS, SeenIds
 
 #: Files of one batch; their paths are all that reaches the driver.
 FILES_PER_BATCH = 1000
@@ -76,7 +76,7 @@ def append_raw(table: str, fan_in: int = 8) -> Callable[[DataFrame, int, str], N
 
 
 def _take_new(
-    raw: DataFrame, batch: int, stream: str, table: str, then: Callable[[DataFrame], None]
+    raw: DataFrame, batch: int, stream: str, table: str, buckets: int, then: Callable[[DataFrame], None]
 ) -> None:
     """Append the batch's new events to the table, and give them to ``then``.
 
@@ -84,7 +84,7 @@ def _take_new(
     finds the same events new, and what it has added already stays as it is.
     """
     spark = raw.sparkSession
-    known = SeenIds(spark, f"{table}-ids")
+    known = SeenIds(spark, f"{table}-ids", buckets)
     if known.table.has(batch, stream):
         return
     clean = materialise(events_clean(raw), "batch-events")
@@ -94,7 +94,7 @@ def _take_new(
     known.add(new, "event_id", batch, stream)
 
 
-def append_new_events(table: str) -> Callable[[DataFrame, int, str], None]:
+def append_new_events(table: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int, str], None]:
     """Job that appends the events whose id no earlier batch had.
 
     One row per id and batch as in ``events_clean``. Ids of earlier batches are
@@ -104,12 +104,14 @@ def append_new_events(table: str) -> Callable[[DataFrame, int, str], None]:
     """
 
     def job(raw: DataFrame, batch: int, stream: str) -> None:
-        _take_new(raw, batch, stream, table, lambda new: None)
+        _take_new(raw, batch, stream, table, buckets, lambda new: None)
 
     return job
 
 
-def append_sessions(events_table: str, table: str) -> Callable[[DataFrame, int, str], None]:
+def append_sessions(
+    events_table: str, table: str, buckets: int = BUCKETS
+) -> Callable[[DataFrame, int, str], None]:
     """Job that appends new events, and their spans to the state of the sessions.
 
     A span is what one batch knows of a session: its first and last minute and
@@ -121,7 +123,9 @@ def append_sessions(events_table: str, table: str) -> Callable[[DataFrame, int,
 
     def job(raw: DataFrame, batch: int, stream: str) -> None:
         state = BatchTable(raw.sparkSession, table)
-        _take_new(raw, batch, stream, events_table, lambda new: state.append(spans(new), batch, stream, merge_spans))
+        _take_new(
+            raw, batch, stream, events_table, buckets, lambda new: state.append(spans(new), batch, stream, merge_spans)
+        )
 
     return job
 

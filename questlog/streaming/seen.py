@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from questlog.session import materialise
 from questlog.sources.snapshots import BatchTable
 
-#: Buckets of a new table. A task holds one bucket's filters, 3 bytes for each id of the bucket.
-BUCKETS = 64
+#: Buckets of a table, for its whole life; a bucket of a part is a folder. A task holds one bucket's filters, 3 bytes
+#: for each id of the bucket: 10 billion ids want some thousands.
+BUCKETS = 16
 #: Bits of a filter for each id, and bits set by one: one id in 25,000 opens a bucket it is not in.
 BITS_PER_ID, BITS_OF_ID = 24, 8
 

@@ -54,17 +54,57 @@ def _no_header(batches):
 def test_header_longer_than_one_read(spark, tmp_path):
     names = [f"column_{i}" for i in range(4000)]
     _write(tmp_path / "f.csv", ",".join(names) + "\n" + "x," * 3999 + "x\n")
-    (header,) = landing_csv._headers(spark, str(tmp_path))
-    assert header.split(",") == names
+    (row,) = landing_csv._headers(spark, str(tmp_path)).collect()
+    assert row["header"].split(",") == names
+
+
+def test_many_small_files_of_two_headers_are_one_scan(spark, tmp_path):
+    """10,000 files, a thousand of them with their columns swapped."""
+    for i in range(10_000):
+        header, row = ("b,a", f"x,{i}") if i % 10 == 3 else ("a,b", f"{i},x")
+        (tmp_path / f"f{i}.csv").write_text(f"{header}\n{row}\n")
+    df = landing_csv.read_csv_by_name(spark, str(tmp_path))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    got = {(r["a"], r["b"], r["_source_file"]) for r in df.collect()}
+    assert got == {(str(i), "x", f"f{i}.csv") for i in range(10_000)}
+
+
+@pytest.mark.parametrize("first", ["a,b\n1,x\n", "b,a,c\nx,1,y\n"])
+def test_file_with_swapped_columns_that_comes_in_between_fails(spark, tmp_path, monkeypatch, first):
+    """Whether or not other files differ: no row is read under wrong names."""
+    _write(tmp_path / "f1.csv", "a,b\n1,x\n")
+    _write(tmp_path / "f2.csv", first)
+    headers = landing_csv._headers
+
+    def then_lands(spark, path):
+        found = headers(spark, path)
+        found.collect()
+        _write(tmp_path / "f3.csv", "b,a\nx,1\n")
+        return found
+
+    monkeypatch.setattr(landing_csv, "_headers", then_lands)
+    df = landing_csv.read_csv_by_name(spark, str(tmp_path))
+    for read in (df.collect, df.select("a").collect, df.count):
+        with pytest.raises(Exception, match="CSV header does not conform|a file came"):
+            read()
 
 
-def test_one_header_needs_no_paths_on_the_driver(spark, tmp_path):
-    for i in range(40):
-        _write(tmp_path / f"d{i % 3}" / f"f{i}.csv", f"a,b\n{i},x\n")
-    assert landing_csv._headers(spark, str(tmp_path)) == {"a,b": []}
-    rows = landing_csv.read_csv_by_name(spark, str(tmp_path)).collect()
-    assert sorted(int(r["a"]) for r in rows) == list(range(40))
-    assert {r["_source_file"] for r in rows} == {f"f{i}.csv" for i in range(40)}
+def test_rows_that_do_not_fit_one_of_several_headers_fail(spark, tmp_path):
+    good = ['"x, ""y""",2', ",", '"",""', '1,"a,b"']
+    _write(tmp_path / "g" / "wide.csv", "a,b,c\n1,2,3\n,,\n")
+    _write(tmp_path / "g" / "narrow.csv", "c,a\n" + "\n".join(good) + "\n")
+    rows = landing_csv.read_csv_by_name(spark, str(tmp_path / "g")).select("a", "b", "c").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(
+        map(str, [("1", "2", "3"), (None, None, None), ("2", None, 'x, "y"'), (None, None, None), (None, None, None), ("a,b", None, "1")])
+    )
+    for n, (file, row) in enumerate([("wide", "1,2"), ("wide", "1,2,3,4"), ("narrow", "1"), ("narrow", "1,2,3"), ("narrow", "1,2,3,4")]):
+        folder = tmp_path / str(n)
+        _write(folder / "wide.csv", "a,b,c\n1,2,3\n" + (f"{row}\n" if file == "wide" else ""))
+        _write(folder / "narrow.csv", "c,a\n1,2\n" + (f"{row}\n" if file == "narrow" else ""))
+        df = landing_csv.read_csv_by_name(spark, str(folder))
+        for read in (df.select("a").collect, df.count):
+            with pytest.raises(Exception, match="(?i)malformed"):
+                read()
 
 
 def test_header_reader_needs_no_package_on_executors():
@@ -127,12 +167,35 @@ def test_landing_by_drop_date(spark, tmp_path):
         ],
     )
     path = str(tmp_path / "landing")
-    landing_csv.land_by_drop_date(raw.select(*EVENT_COLUMNS, "filename", "_source_file"), path)
-    dates = sorted(p.name for p in (tmp_path / "landing").iterdir() if p.is_dir())
+    rows = raw.select(*EVENT_COLUMNS, "filename", "_source_file")
+
+    def landed():
+        return landing_csv.read_event_drops(spark, path).select(*EVENT_COLUMNS)
+
+    landing_csv.land_by_drop_date(rows, path, load="monday")
+    dates = sorted(p.name for p in (tmp_path / "landing" / "load=monday").iterdir() if p.is_dir())
     assert dates == ["landing_date=2024-01-01", "landing_date=2024-01-02"]
-    back = landing_csv.read_event_drops(spark, f"{path}/*")
-    assert back.select(*EVENT_COLUMNS).exceptAll(raw.select(*EVENT_COLUMNS)).count() == 0
-    assert back.count() == 6
+    expected = raw.select(*EVENT_COLUMNS)
+    assert landed().exceptAll(expected).count() == 0 and landed().count() == 6
+
+    # the same load again, whole or in part: the same rows
+    landing_csv.land_by_drop_date(rows, path, load="monday")
+    landing_csv.land_by_drop_date(rows.where("_source_file LIKE '%02.csv'"), path, load="monday")
+    assert landed().exceptAll(expected).count() == 0 and landed().count() == 6
+    # another one adds its own
+    landing_csv.land_by_drop_date(rows, path, load="tuesday")
+    landing_csv.land_by_drop_date(rows, path)
+    assert landed().count() == 18
+    with pytest.raises(ValueError, match="named by"):
+        landing_csv.land_by_drop_date(rows, path, load="a/b")
+
+
+def test_date_without_a_name_lands_once(spark, tmp_path):
+    """Rows of files without a date are a partition like others."""
+    rows = raw_events(spark, [{"_source_file": "x.csv", "filename": "x.csv"}]).select(*EVENT_COLUMNS, "filename", "_source_file")
+    for _ in range(2):
+        landing_csv.land_by_drop_date(rows, str(tmp_path / "landing"), load="one")
+    assert landing_csv.read_event_drops(spark, str(tmp_path / "landing")).count() == 1
 
 
 def _landing_zone(root):
