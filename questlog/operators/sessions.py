@@ -6,15 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlog.functions import exact_sum, minute_floor, minute_index, second_diff
+from questlog.operators.earliest import ATTRIBUTES, Codes, pair
 from questlog.operators.ranking import running_counts
 from questlog.session import materialise
 
 # Fixed value: minute boundaries without an event that end a session.
 GAP_MINUTES = 30
 
-ATTRIBUTES = ["platform", "country", "app_version"]
-_FAR_FUTURE = "9999-12-31 23:59:59.999999"
-
 SESSION_COLUMNS = [
     "session_id",
     "userid",
@@ -34,33 +32,26 @@ def _is_purchase() -> Column:
     return F.coalesce((F.col("event_name") == "purchase").cast("bigint"), F.lit(0))
 
 
-def minute_rollup(events: DataFrame) -> DataFrame:
-    """Events summed per user and minute.
+def minute_rollup(events: DataFrame, codes: Codes | None = None) -> DataFrame:
+    """Events summed per user and minute; attributes as numbers of ``codes``.
 
     The gap rule only sees minutes, so all events of one user and minute share
     a session. Summing them first, in each map task and then per minute, leaves
     at most one row per minute of a user, or of the events without a user,
     however many there are and whatever their attributes.
     """
+    codes = codes or Codes(events)
     minute = minute_index(F.col("event_time")).alias("minute")
-    return events.groupBy("userid", minute).agg(
+    rolled = codes.pack_in_minute(events).groupBy("userid", minute).agg(
         F.count("*").alias("events"),
         F.min("event_time").alias("first_time"),
         F.max("event_time").alias("last_time"),
         F.sum("rounds_completed").alias("rounds"),
         exact_sum(F.col("revenue_usd")).alias("revenue"),
         F.sum(_is_purchase()).alias("purchases"),
-        *[F.min(dated(a, "event_time")).alias(a) for a in ATTRIBUTES],
-    )
-
-
-def dated(attribute: str, time: str) -> Column:
-    """An attribute with the time it was seen; NULL without a value."""
-    at = F.coalesce(time, F.lit(_FAR_FUTURE).cast("timestamp_ntz"))
-    return F.when(
-        F.col(attribute).isNotNull(),
-        F.struct(at.alias("at"), F.col(attribute).alias("value")),
+        *[F.min(a).alias(a) for a in ATTRIBUTES],
     )
+    return codes.lift(rolled)
 
 
 def _sums() -> list[Column]:
@@ -123,9 +114,9 @@ def _joined(spans: DataFrame, gap_minutes: int) -> DataFrame:
     )
 
 
-def _minutes(events: DataFrame) -> DataFrame:
+def _minutes(events: DataFrame, codes: Codes) -> DataFrame:
     """The rollup's minutes as spans. Events without a time are none."""
-    rolled = minute_rollup(events.where(F.col("event_time").isNotNull()))
+    rolled = minute_rollup(events.where(F.col("event_time").isNotNull()), codes)
     return rolled.withColumn("first_minute", F.col("minute")).withColumnRenamed("minute", "last_minute")
 
 
@@ -141,7 +132,7 @@ def _untimed(events: DataFrame) -> DataFrame:
         F.col("rounds_completed").cast("bigint").alias("rounds"),
         F.col("revenue_usd").alias("revenue"),
         _is_purchase().alias("purchases"),
-        *[dated(a, "event_time").alias(a) for a in ATTRIBUTES],
+        *[pair(a, F.col("event_time")).alias(a) for a in ATTRIBUTES],
     )
 
 
@@ -174,8 +165,8 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
     return parts.groupBy("userid", "seq").agg(*_sums())
 
 
-def _numbered(timed: DataFrame, untimed: DataFrame) -> DataFrame:
-    """The sessions table from joined spans and events without a time.
+def _numbered(timed: DataFrame, untimed: DataFrame, codes: Codes) -> DataFrame:
+    """The sessions table from joined spans and events without a time, of packed attributes.
 
     The latter need further steps, which depend on whether there are any.
     """
@@ -183,17 +174,29 @@ def _numbered(timed: DataFrame, untimed: DataFrame) -> DataFrame:
         timed = _add_untimed(materialise(timed, "timed-sessions"), untimed)
     session_id = F.concat_ws("-", "userid", "seq")
     session_id = F.when(F.col("userid").isNotNull(), session_id)
-    return finish(_measures(timed).withColumn("session_id", session_id)).select(*SESSION_COLUMNS)
+    named = _measures(codes.unpack(timed)).withColumn("session_id", session_id)
+    return finish(named).select(*SESSION_COLUMNS)
 
 
 def sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """One row per session, numbered per user in time order.
 
     ``events`` has one row per event id and should be a stored table: it is
-    looked through once for events without a time, which need further steps.
-    Two shuffles: the minute rollup (after map-side sums) and the users.
+    looked through for the values of attributes, and for events without a time,
+    which need further steps. Two shuffles: the minute rollup (after map-side
+    sums) and the users.
     """
-    return _numbered(_joined(_minutes(events), gap_minutes), _untimed(events))
+    codes = Codes(events)
+    return _numbered(_joined(_minutes(events, codes), gap_minutes), codes.pack(_untimed(events)), codes)
+
+
+def _span_codes(rows: DataFrame) -> Codes:
+    return Codes(rows.select(*[F.col(a)["value"].alias(a) for a in ATTRIBUTES]))
+
+
+def _parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans of events with a time, and events without one."""
+    return rows.where("first_minute IS NOT NULL").drop("event_id"), rows.where("first_minute IS NULL").drop("first_minute", "last_minute")
 
 
 def spans(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
@@ -202,21 +205,24 @@ def spans(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     A row is a user's stretch of events without a gap, or an event without a
     time; ``sessions_of_spans`` makes sessions of any number of such sets.
     """
-    timed = _joined(_minutes(events), gap_minutes).drop("seq")
+    codes = Codes(events)
+    timed = codes.unpack(_joined(_minutes(events, codes), gap_minutes).drop("seq"))
     return timed.unionByName(_untimed(events), allowMissingColumns=True)
 
 
 def merge_spans(rows: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """Fewer spans that stand for the same events."""
-    timed = _joined(rows.where("first_minute IS NOT NULL"), gap_minutes).drop("seq")
-    return timed.unionByName(rows.where("first_minute IS NULL"), allowMissingColumns=True)
+    """Fewer spans that stand for the same events; ``rows`` are stored."""
+    codes = _span_codes(rows)
+    timed, untimed = _parts(rows)
+    merged = codes.unpack(_joined(codes.pack(timed), gap_minutes).drop("seq"))
+    return merged.unionByName(untimed, allowMissingColumns=True)
 
 
 def sessions_of_spans(rows: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """The sessions of all events that the spans stand for, as ``sessions`` gives them."""
-    return _numbered(_joined(rows.where("first_minute IS NOT NULL"), gap_minutes), rows.where("first_minute IS NULL").select(
-        "userid", "event_id", "first_time", "last_time", "events", "rounds", "revenue", "purchases", *ATTRIBUTES
-    ))
+    """The sessions of all events that the spans stand for, as ``sessions`` gives them; ``rows`` are stored."""
+    codes = _span_codes(rows)
+    timed, untimed = (codes.pack(part) for part in _parts(rows))
+    return _numbered(_joined(timed, gap_minutes), untimed, codes)
 
 
 def sessions_by_session_window(
@@ -227,10 +233,11 @@ def sessions_by_session_window(
     Time is cut to minutes first: then "more than 30 boundaries" equals the
     30-minute gap of the built-in window. Rows without a time have no window.
     """
-    minutes = minute_rollup(events.where(F.col("event_time").isNotNull()))
+    codes = Codes(events)
+    minutes = minute_rollup(events.where(F.col("event_time").isNotNull()), codes)
     window = F.session_window(
         minute_floor(F.col("first_time")), f"{gap_minutes} minutes"
     )
     rolled = minutes.groupBy("userid", window.alias("span")).agg(*_sums())
     columns = [c for c in SESSION_COLUMNS if c != "session_id"]
-    return finish(_measures(rolled)).select(*columns)
+    return finish(_measures(codes.unpack(rolled))).select(*columns)
