@@ -148,7 +148,10 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
     user = F.coalesce(F.col("userid").cast("string"), F.lit("")).alias("user")
     place = F.conv(F.substring(F.md5("event_id"), 1, 15), 16, 10).cast("bigint")
     rows = untimed.withColumns({"user": user, "place": place, "is_event": F.lit(1)})
-    earlier = timed.groupBy(user).agg((F.max("seq") - 1).alias("events"))
+    timed = timed.withColumn("user", user)
+    # only users with such events have anything to count, and only their last sessions change
+    known = timed.join(rows.select("user").distinct(), "user", "left_semi")
+    earlier = known.groupBy("user").agg((F.max("seq") - 1).alias("events"))
     earlier = earlier.withColumns(
         {"place": F.lit(-(2**63)).cast("bigint"), "is_event": F.lit(0)}
     )
@@ -159,10 +162,13 @@ def _add_untimed(timed: DataFrame, untimed: DataFrame) -> DataFrame:
         ("user",),
         ("is_event", "event_id"),
     )
-    numbered = placed.where("is_event = 1").withColumn("seq", F.col("before") + 1)
     columns = ["userid", "seq", "first_time", "last_time", "events", "rounds", "revenue", "purchases", *ATTRIBUTES]
-    parts = timed.select(*columns).unionByName(numbered.select(*columns))
-    return parts.groupBy("userid", "seq").agg(*_sums())
+    numbered = placed.where("is_event = 1").withColumn("seq", F.col("before") + 1)
+    numbered = materialise(numbered.select("user", *columns), "untimed-events")
+    taken = numbered.select("user", "seq")
+    parts = timed.join(taken, ["user", "seq"], "left_semi").select(*columns).unionByName(numbered.select(*columns))
+    changed = parts.groupBy("userid", "seq").agg(*_sums())
+    return timed.join(taken, ["user", "seq"], "left_anti").select(*columns).unionByName(changed.select(*columns))
 
 
 def _numbered(timed: DataFrame, untimed: DataFrame, codes: Codes) -> DataFrame:
