@@ -56,14 +56,10 @@ def _bronze_counts(s: Store) -> DataFrame:
 
 
 def _checks(s: Store) -> DataFrame:
-    validation = retention.retention_validation(s.users_dim)
+    clean, played, users = s.events_clean, s.sessions, s.users_dim
+    validation = retention.retention_validation(users)
     return quality.quality_checks(
-        s.raw_events,
-        s.raw_assignments,
-        s.events_clean,
-        s.sessions,
-        s.users_dim,
-        validation,
+        s.raw_events, s.raw_assignments, clean, played, users, validation, s.counts
     )
 
 

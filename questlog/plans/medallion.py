@@ -66,12 +66,19 @@ def build(
         "gold.mart_engagement_segment_summary", engagement.segment_summary(segments)
     )
     write("gold.mart_ab_test_readout", engagement.ab_test_readout(dim, summary))
-    checks = quality.quality_checks(raw, assigned, clean, played, dim, validation)
+    written = {
+        "raw_events": "bronze.raw_events",
+        "raw_assignments": "bronze.raw_experiment_assignments",
+        "events": "silver.events_clean",
+        "users": "silver.users_dim",
+    }
+    counts = {name: warehouse.rows(table) for name, table in written.items()}
+    checks = quality.quality_checks(raw, assigned, clean, played, dim, validation, counts)
     return write("gold.data_quality_checks", checks)
 
 
 def row_report(warehouse: Warehouse) -> DataFrame:
-    """Row counts of the landing and cleaned layers."""
+    """Row counts of the landing and cleaned layers, as counted when they were written."""
     tables = [
         "bronze.raw_events",
         "bronze.raw_experiment_assignments",
@@ -79,7 +86,8 @@ def row_report(warehouse: Warehouse) -> DataFrame:
         "silver.sessions",
         "silver.users_dim",
     ]
-    return bronze.row_counts({t: warehouse.read(t) for t in tables})
+    counts = [(t, warehouse.rows(t)) for t in tables]
+    return warehouse.spark.createDataFrame(counts, "table_name string, row_count long")
 
 
 def run(

@@ -51,6 +51,12 @@ class Store:
             self._written.add(table)
         return self._warehouse.read(table)
 
+    @property
+    def counts(self) -> dict[str, int]:
+        """Rows of the written tables, by their argument of ``quality_checks``."""
+        names = {"events": "silver.events_clean", "users": "silver.users_dim"}
+        return {name: self._warehouse.rows(t) for name, t in names.items() if t in self._written}
+
     @property
     def raw_events(self) -> DataFrame:
         return sample_tables.raw_telemetry(self.spark, self.sf_dir)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from questlog.sources.snapshots import Pointer
@@ -62,13 +63,20 @@ class Warehouse:
         folder = f"{table.replace('.', '/')}/{uuid.uuid4().hex}"
         if partition_by:
             df = df.hint("rebalance", partition_by)
-        writer = df.write
+        # counted in the stage that writes, whose tasks count once however often they are tried
+        written = Observation()
+        writer = df.observe(written, F.count("*").alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(f"{self.root}/{folder}")
-        self._new[table] = {"folder": folder, "schema": df.schema.jsonValue()}
+        rows = written.get.get("rows", 0)
+        self._new[table] = {"folder": folder, "schema": df.schema.jsonValue(), "rows": rows}
         return self.read(table)
 
+    def rows(self, table: str) -> int:
+        """Number of rows, as counted when they were written."""
+        return self._entry(table)["rows"]
+
     def read(self, table: str) -> DataFrame:
         """The table as last written here, or as committed; the schema spares reading file footers."""
         schema = StructType.fromJson(self._entry(table)["schema"])
