@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from questlog.operators import (
     bronze,
+    churn,
     engagement,
     events,
     history,
@@ -209,6 +210,12 @@ QUERIES: dict[str, Query] = {
     "churn_features": _on_store(
         lambda s: history.churn_features(s.users_dim, s.sessions)
     ),
+    "churn_scores": _on_store(
+        lambda s: churn.churn_scores(
+            history.churn_features(s.users_dim, s.sessions),
+            s.sessions.agg(F.max("session_date")),
+        )
+    ),
     # streams
     "stream_incremental_load": _on_store(_stream_incremental_load),
     "stream_dedup": _on_store(_stream_dedup),

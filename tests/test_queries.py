@@ -5,7 +5,9 @@ from questlog.plans.catalog import QUERIES
 from questlog.plans.oracle import ORACLE_SQL
 from tests.compare import compare, duck
 
-KEYS = sorted(QUERIES)
+# A fitted model has no SQL; tests/test_churn.py holds it against a plain fit.
+WITHOUT_SQL = {"churn_scores"}
+KEYS = sorted(set(QUERIES) - WITHOUT_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +16,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLE_SQL) == set(KEYS) <= set(contract.queries())
+    assert set(ORACLE_SQL) == set(KEYS) and set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
