@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from itertools import count
 
@@ -15,6 +17,18 @@ from pyspark.sql.types import ArrayType, DataType, LongType, StructType
 PLACE_BITS = 32
 
 
+def released(made=None):
+    """Hands ``made`` on, after giving back to the system what this worker has freed.
+
+    A worker goes on to tasks of other stages, and the C library would keep
+    the freed pages of large steps for it.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+    return made
+
+
 def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[int, list, list[bytes]]]:
     """(key, ids, texts) of about ``block_bytes`` each, from batches of (id, text as binary); null texts are empty.
 

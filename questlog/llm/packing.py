@@ -15,19 +15,63 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
-from questlog.llm.pretokens import STOPS, Kept
+from questlog.llm.blocks import released
+from questlog.llm.pretokens import KEPT_CHARS, KEPT_PARTS, STOPS
 from questlog.session import materialise
 
 #: Id after each document.
 END = 0
 #: Letters, signs and white space that the tokenizer's rules and Python's agree on; other texts go to it whole.
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u02ff]|<\\|")
+#: Characters of text whose new words are encoded together, and words of one call.
+LEARN_CHARS, CALL_WORDS = 1 << 20, 2000
 #: Numbers of equal groups of large lengths that are tried; the packing of fewest sequences is taken.
 GROUPS = (32, 128, 512)
 #: Lengths above this part of a sequence are large: at most three fit together.
 LARGE_PART = 4
 
 
+class Words(dict):
+    """The ids, as bytes, of words that the tokenizer was asked for; a bounded number is kept."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+        added = tokenizer.get_added_tokens_decoder()
+        #: A special token, at which the tokenizer cuts a text before all else: what lies between two is encoded apart.
+        self.mark = next(((n, t.content) for n, t in sorted(added.items()) if t.special), None)
+
+    def __missing__(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _encode(self, words: list[str]) -> None:
+        """Many words by one call, a mark before each."""
+        number, mark = self.mark
+        for start in range(0, len(words), CALL_WORDS):
+            own = words[start : start + CALL_WORDS]
+            ids = np.array(self.tokenizer.encode(mark + mark.join(own), add_special_tokens=False).ids, dtype="<u4")
+            at = np.nonzero(ids == number)[0]
+            if len(at) != len(own):
+                raise ValueError("the tokenizer does not cut texts at its special token")
+            raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
+            for word, first, last in zip(own, at.tolist(), ends):
+                self[word] = raw[4 * first + 4 : 4 * last]
+
+    def learn(self, words: set[str]) -> None:
+        """Keep the ids of these words, but for very long ones and those that hold the mark."""
+        if not self.mark:
+            return
+        if len(self) + 2 * len(words) > KEPT_PARTS:
+            self.clear()
+        new = {w for w in words if w not in self and len(w) <= KEPT_CHARS and self.mark[1] not in w}
+        # letters and a sign after them are encoded apart by the vocabulary too
+        stopped = {w for w in new if w[-1] in STOPS and w[:-1].isalpha()}
+        apart = {part for w in stopped for part in (w[:-1], w[-1])}
+        self._encode([w for w in (new - stopped) | apart if w not in self])
+        for word in stopped:
+            self[word] = self[word[:-1]] + self[word[-1]]
+
+
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32, part, number) of every piece of up to ``capacity`` ids.
 
@@ -46,19 +90,32 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
         def encode(text: str) -> bytes:
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-        def encode_word(word: str) -> bytes:
-            # letters and a sign after them are encoded apart by the vocabulary too
-            if word[-1] in STOPS and word[:-1].isalpha():
-                return kept[word[:-1]] + kept[word[-1]]
-            return encode(word)
+        kept, end = Words(tokenizer), np.array([END], dtype="<u4").tobytes()
+
+        def texts(batch: pa.RecordBatch) -> Iterator[bytes]:
+            """The ids of each text, few texts at a time, so that new words go to the tokenizer together."""
+            waiting: list[str | list[str]] = []
+            size = 0
+
+            def ready() -> Iterator[bytes]:
+                kept.learn({w for words in waiting if isinstance(words, list) for w in words})
+                for words in waiting:
+                    yield encode(words) if isinstance(words, str) else b"".join(map(kept.__getitem__, words))
+
+            for value in batch.column(1):
+                text = value.as_py() or ""
+                waiting.append(text if ODD.search(text) else text.lower().split())
+                size += len(text)
+                if size >= LEARN_CHARS:
+                    yield from ready()
+                    waiting, size = [], 0
+            yield from ready()
 
-        kept, end = Kept(encode_word), np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6)]
             origin = []
-            for at, value in enumerate(batch.column(1)):
-                text = value.as_py() or ""
-                ids = (encode(text) if ODD.search(text) else b"".join(map(kept.__getitem__, text.lower().split()))) + end
+            for at, ids in enumerate(texts(batch)):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[start : start + 4 * capacity]
                     length = len(own) // 4
@@ -71,8 +128,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
                 [batch.column(0).take(pa.array(origin, pa.int64())), *[pa.array(x, k) for x, k in zip(rows, kinds)]],
                 ["id", "piece", "start", "length", "ids_crc32", "part", "number"],
             )
-        # the table refers to itself through its function, so a reused worker would keep it
         kept.clear()
+        released()
 
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

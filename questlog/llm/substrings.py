@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, packed_schema, unpack_texts
+from questlog.llm.blocks import Rolling, anchors, blocks, covered, inside, pack_texts, packed_schema, released, unpack_texts
 from questlog.llm.lyndon import neighbour_matches, suffix_array
 from questlog.session import materialise
 
@@ -190,7 +190,7 @@ def remove_repeats(
     packed = source.mapInArrow(lambda b: pack_texts(b, block_bytes, id_type), packed_schema(kind))
 
     def per_block(rows: DataFrame, work, made: str | StructType) -> DataFrame:
-        return packed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(work, made)
+        return packed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(lambda left, right: released(work(left, right)), made)
 
     found = source.mapInArrow(count_anchors, "gram long, block long, place long, n long")
     total = F.sum("n").over(Window.partitionBy("gram"))

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from questlog.llm.packing import pack, plan
+from questlog.llm.packing import Words, pack, plan
 
 from tests.llm.test_token_counts import TEXTS
 
@@ -67,3 +67,13 @@ def test_rows_as_the_library(spark):
 
 def test_no_rows(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), FILE).collect() == []
+
+
+def test_words_learned_together_have_the_ids_of_each_alone():
+    tokenizer = Tokenizer.from_file(FILE)
+    words = {w for t in TEXTS for w in (t or "").lower().split()} | {"don't", "a,", ",", "x" * 70, "1234", "é!", "'s", "a<|endoftext|>b", "a<|startoftext|>b", "--"}
+    kept = Words(tokenizer)
+    kept.learn(words)
+    for word in sorted(words):
+        assert kept[word] == np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes(), word
+    assert "x" * 70 not in kept and "a<|startoftext|>b" not in kept and "don't" in kept
