@@ -44,18 +44,24 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode(self, words: list[str]) -> None:
-        """Many words by one call, a mark before each."""
+    def _encode(self, words: list[str], between: str) -> None:
+        """Many words by one call: letters only with spaces between, as each is a pre-token; others at marks."""
         number, mark = self.mark
         for start in range(0, len(words), CALL_WORDS):
             own = words[start : start + CALL_WORDS]
-            ids = np.array(self.tokenizer.encode(mark + mark.join(own), add_special_tokens=False).ids, dtype="<u4")
-            at = np.nonzero(ids == number)[0]
-            if len(at) != len(own):
-                raise ValueError("the tokenizer does not cut texts at its special token")
-            raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
-            for word, first, last in zip(own, at.tolist(), ends):
-                self[word] = raw[4 * first + 4 : 4 * last]
+            found = self.tokenizer.encode(between + between.join(own), add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            if between == mark:
+                at = np.nonzero(ids == number)[0]
+                first, last = at + 1, np.append(at[1:], len(ids))
+            else:
+                first = np.nonzero(np.diff(np.array(found.word_ids), prepend=-1))[0]
+                last = np.append(first[1:], len(ids))
+            if len(first) != len(own):
+                raise ValueError("the tokenizer does not cut texts at spaces and special tokens")
+            raw = ids.tobytes()
+            for word, begin, end in zip(own, (4 * first).tolist(), (4 * last).tolist()):
+                self[word] = raw[begin:end]
 
     def learn(self, words: set[str]) -> None:
         """Keep the ids of these words, but for very long ones and those that hold the mark."""
@@ -67,7 +73,9 @@ class Words(dict):
         # letters and a sign after them are encoded apart by the vocabulary too
         stopped = {w for w in new if w[-1] in STOPS and w[:-1].isalpha()}
         apart = {part for w in stopped for part in (w[:-1], w[-1])}
-        self._encode([w for w in (new - stopped) | apart if w not in self])
+        missing = [w for w in (new - stopped) | apart if w not in self]
+        self._encode([w for w in missing if w.isalpha()], " ")
+        self._encode([w for w in missing if not w.isalpha()], self.mark[1])
         for word in stopped:
             self[word] = self[word[:-1]] + self[word[-1]]
 
