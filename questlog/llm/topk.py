@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -9,13 +12,14 @@ from pyspark.sql import functions as F
 
 from questlog.session import materialise
 
-#: Vectors of one index block, and queries run against it by one task.
+#: Vectors of one index block.
 BLOCK_VECTORS = 1 << 14
-BATCH_QUERIES = 1 << 10
-#: Levels into which the values of one dimension are quantised.
+#: Levels into which the values of one dimension are quantised, at most 255.
 LEVELS = 28
-#: Times a query looks for its proof on the way through the segments.
-LOOKS = 8
+#: Shares of the postings after which a query looks for its proof; the last is all.
+LOOKS = (0.1, 0.25, 0.4, 0.5, 0.6, 0.75, 1)
+#: One in so many vectors may be left for the exact scores, which cost less than further segments.
+FEW = 2
 
 
 def whole_components(vector: Column, factor: int = 256) -> Column:
@@ -34,61 +38,88 @@ class Index:
         self.exact = self.values.astype(np.float64)
         low, high = self.values.min(axis=0), self.values.max(axis=0)
         width = np.maximum(1, -(-(high - low + 1) // LEVELS))
-        level = (self.values - low) // width
-        self.segments, dims, lows, highs = [], [], [], []
-        for d in range(values.shape[1]):
-            rows = np.argsort(level[:, d], kind="stable")
-            found, starts = np.unique(level[rows, d], return_index=True)
-            for k, part in zip(found, np.split(rows, starts[1:])):
-                self.segments.append(part)
-                own = self.values[part, d]
-                dims.append(d)
-                lows.append(own.min())
-                highs.append(own.max())
-        self.dims, self.lows, self.highs = np.array(dims), np.array(lows), np.array(highs)
+        #: Level of every vector, a row for each dimension.
+        self.level = ((self.values - low) // width).T.astype(np.uint8, order="C")
+        self.segments, dims, levels, lows, highs = [], [], [], [], []
+        for d, level in enumerate(self.level):
+            rows = np.argsort(level, kind="stable")
+            found, starts = np.unique(level[rows].astype(np.int64), return_index=True)
+            own = self.values[rows, d]
+            lows.append(np.minimum.reduceat(own, starts))
+            highs.append(np.maximum.reduceat(own, starts))
+            dims.append(np.full(len(found), d))
+            levels.append(found)
+            self.segments += np.split(rows, starts[1:])
+        self.dims, self.levels, self.lows, self.highs = map(np.concatenate, (dims, levels, lows, highs))
+        self.sizes = np.array([len(s) for s in self.segments])
+        #: Postings read and held, over all queries.
+        self.read = self.held = 0
 
     def search(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and scores of the ``k`` best but ``own_id``; ties to the smaller id.
 
         Segments are added in descending impact: the most that one can add,
-        above the least of its dimension. A vector still missing m dimensions
-        can gain at most m times the next impact, which bounds its score. Best
-        vectors so far, scored exactly, give the score to reach; when few can
-        still reach it, or no segment is left, those are scored exactly.
+        above the least of its dimension. In a dimension where a vector has not
+        come yet it gains at most the next impact of that dimension, which
+        bounds its score. Best vectors by that bound, scored exactly, give the
+        score to reach; once few can still reach it, or no segment is left,
+        those are scored exactly.
         """
-        n, dims = self.values.shape
+        n, width = self.values.shape
         taking_part = self.ids != own_id
         if not taking_part.any():
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        weight = query[self.dims]
+        precise = query.astype(np.float64)
+        weight = precise[self.dims]
         most = np.maximum(weight * self.lows, weight * self.highs)
         least = np.minimum(weight * self.lows, weight * self.highs)
-        floors = np.full(dims, np.iinfo(np.int64).max)
+        floors = np.full(width, np.inf)
         np.minimum.at(floors, self.dims, least)
         impact = most - floors[self.dims]
         order = np.argsort(-impact, kind="stable")
-        gained, missing = np.zeros(n, dtype=np.int64), np.full(n, dims, dtype=np.int64)
+        read = np.cumsum(self.sizes[order])
+        gained = np.where(taking_part, floors.sum(), -np.inf)
         wanted = min(k, int(taking_part.sum()))
-        precise, base = query.astype(np.float64), int(floors.sum())
-        possible = taking_part
-        looks = set(np.linspace(len(order) // 2, len(order), LOOKS, dtype=int).tolist())
-        for turn, segment in enumerate(order, start=1):
-            rows = self.segments[segment]
-            gained[rows] += impact[segment]
-            missing[rows] -= 1
-            if turn in looks:
-                bound = base + gained + missing * (impact[order[turn]] if turn < len(order) else 0)
-                bound[~taking_part] = np.iinfo(np.int64).min
-                best = np.argpartition(-bound, wanted - 1)[: 4 * wanted]
-                reach = np.sort(self.exact[best] @ precise + np.where(taking_part[best], 0, -np.inf))[-wanted]
-                possible = taking_part & (bound >= reach)
-                if possible.sum() <= max(4 * wanted, n // 64):
-                    break
+        possible, done = taking_part, 0
+        for share in LOOKS:
+            turn = int(np.searchsorted(read, share * read[-1])) + 1 if share < 1 else len(order)
+            if turn > done:
+                added = order[done:turn]
+                rows = np.concatenate([self.segments[s] for s in added])
+                gained += np.bincount(rows, np.repeat(impact[added], self.sizes[added]), minlength=n)
+                done = turn
+            bound = gained + self._open(order[done:], precise, impact)
+            best = np.argpartition(-bound, wanted - 1)[: 4 * wanted]
+            reach = np.sort(self.exact[best] @ precise + np.where(taking_part[best], 0, -np.inf))[-wanted]
+            possible = taking_part & (bound >= reach)
+            if possible.sum() <= max(4 * wanted, n // FEW):
+                break
+        self.read += int(read[done - 1])
+        self.held += int(read[-1])
         members = np.nonzero(possible)[0]
         scores = self.exact[members] @ precise
         top = np.lexsort((self.ids[members], -scores))[:k]
         return members[top], scores[top].astype(np.int64)
 
+    def _open(self, left: np.ndarray, weight: np.ndarray, impact: np.ndarray) -> np.ndarray:
+        """The most that segments ``left`` can still add to each vector.
+
+        A dimension's levels are read from one end, the high one where the
+        query's ``weight`` is positive.
+        """
+        width = len(self.level)
+        following, lowest, highest = np.zeros(width), np.full(width, LEVELS), np.zeros(width, dtype=np.int64)
+        np.maximum.at(following, self.dims[left], impact[left])
+        np.minimum.at(lowest, self.dims[left], self.levels[left])
+        np.maximum.at(highest, self.dims[left], self.levels[left])
+        rising = weight > 0
+        limit = np.where(rising, highest, lowest).astype(np.uint8)[:, None]
+        unread = np.empty(self.level.shape, dtype=np.float32)
+        np.less_equal(self.level[rising], limit[rising], out=unread[: rising.sum()], casting="unsafe")
+        np.greater_equal(self.level[~rising], limit[~rising], out=unread[rising.sum() :], casting="unsafe")
+        steps = np.concatenate((following[rising], following[~rising])).astype(np.float32)
+        return (steps @ unread).astype(np.float64) * (1 + width * 1e-6)  # never below the exact sum
+
 
 def dealt(rows: DataFrame, blocks: int) -> DataFrame:
     """Rows of a written table with their ``block``, by hash of the id and the row's place, so copies of an id part."""
@@ -108,8 +139,8 @@ def top_k(
     empty vectors score 0. Repeated rows are candidates each; of a repeated
     query, one is asked. Ties go to the smaller id.
 
-    Candidates lie in blocks of bounded size, each with an index of its own;
-    every batch of queries visits every block, and the best of each block meet
+    Candidates lie in blocks of bounded size. A task indexes a block once and
+    runs all queries against it as they stream by; the best of each block meet
     per query.
     """
     rows = vectors.select(
@@ -119,37 +150,52 @@ def top_k(
     rows = materialise(rows.where("id IS NOT NULL AND vector IS NOT NULL"), "vectors")
     asked = rows.where("asked").groupBy("id").agg(F.min("vector").alias("vector"))
     blocks = max(1, -(-rows.count() // BLOCK_VECTORS))
-    batches = max(1, -(-asked.count() // BATCH_QUERIES))
-
-    def each(count: int, of: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(of)
-
-    # of one type on both sides, as equal numbers of other types hash apart
-    batch = F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int").alias("batch")
-    candidates = dealt(rows, blocks).select("id", "vector", "block", each(batches, "batch"))
-    seekers = asked.select("id", "vector", batch, each(blocks, "block"))
-
-    def matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-        lists = column.combine_chunks()
-        lengths = np.diff(lists.offsets.to_numpy())
-        out = np.zeros((len(lists), width), dtype=np.int64)
-        out[np.arange(width) < lengths[:, None]] = lists.flatten().to_numpy()
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    candidates = dealt(rows, blocks).select("block", F.lit(False).alias("asked"), "id", "vector")
+    seekers = asked.select(every, F.lit(True).alias("asked"), "id", "vector")
+
+    def matrix(column: pa.Array, width: int) -> np.ndarray:
+        starts = column.offsets.to_numpy()
+        places = starts[:-1, None] + np.arange(width)
+        own = places < starts[1:, None]
+        out = np.zeros(places.shape, dtype=np.int64)
+        out[own] = column.values.to_numpy()[places[own]]
         return out
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple] = []
-        if left.num_rows and right.num_rows:
-            widths = [max(map(len, t.column("vector").to_pylist())) for t in (left, right)]
-            width = max(1, *widths)
-            index = Index(left.column("id").to_numpy(), matrix(left.column("vector"), width))
-            for own, query in zip(right.column("id").to_pylist(), matrix(right.column("vector"), width)):
-                members, scores = index.search(query, own, k)
-                found += zip([own] * len(members), index.ids[members].tolist(), scores.tolist())
-        columns = list(zip(*found)) or [(), (), ()]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "id", "score"), columns)})
-
-    keys = ["block", "batch"]
-    local = candidates.groupBy(*keys).cogroup(seekers.groupBy(*keys)).applyInArrow(search, "query_id long, id long, score long")
+    def indexed(parts: list[pa.RecordBatch]) -> Index:
+        column = pa.concat_arrays([p.column("vector") for p in parts])
+        width = max(1, int(np.diff(column.offsets.to_numpy()).max()))
+        return Index(np.concatenate([p.column("id").to_numpy() for p in parts]), matrix(column, width))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per block its candidates, then the queries."""
+        current, held, index = None, [], None
+        for batch in batches:
+            turns = batch.column("block").to_numpy().astype(np.int64) * 2 + batch.column("asked").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.nonzero(np.diff(turns))[0] + 1).tolist(), len(turns)]
+            for start, end in pairwise(edges):
+                if start == end:
+                    continue
+                part, (block, asks) = batch.slice(start, end - start), divmod(int(turns[start]), 2)
+                if block != current:
+                    current, held, index = block, [], None
+                if not asks:
+                    held.append(part)
+                    continue
+                if index is None:
+                    if not held:
+                        continue
+                    index, held = indexed(held), []
+                found: list[tuple] = []
+                for own, query in zip(part.column("id").to_pylist(), matrix(part.column("vector"), index.values.shape[1])):
+                    members, scores = index.search(query, own, k)
+                    found += zip([own] * len(members), index.ids[members].tolist(), scores.tolist())
+                columns = list(zip(*found)) or [(), (), ()]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
+
+    partitions = min(blocks, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = candidates.unionByName(seekers).repartitionById(partitions, F.col("block") % partitions)
+    local = met.sortWithinPartitions("block", "asked").mapInArrow(search, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")

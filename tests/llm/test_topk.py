@@ -20,16 +20,15 @@ def plain(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block, batch", [(1 << 14, 1 << 10), (70, 2)])
-def test_matches_brute_force(spark, monkeypatch, block, batch):
+@pytest.mark.parametrize("block", [1 << 14, 70])
+def test_matches_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK_VECTORS", block)
-    monkeypatch.setattr(topk, "BATCH_QUERIES", batch)
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(0, 0.12, 16).round(4).tolist()) for i in range(300)]
     rows += [(300 + i, rows[i % 3][1]) for i in range(60)]  # ties
     rows += [(400, None), (450, [1.0, None]), (500, [float("nan")] * 16), (550, [float("inf")] * 16), (None, rows[0][1]), (600, []), (650, [0.5]), (50, rows[50][1]), (7, rows[7][1])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS id", "2 AS score", "3 AS block")
-    # each block and batch in a task of its own
+    # several blocks in a task, then each in its own
     for partitions, merged in (("4", "true"), ("50", "false")):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
@@ -51,3 +50,17 @@ def test_copies_of_an_id_lie_in_all_blocks(spark):
     rows = spark.createDataFrame([(7, [1, 2])] * 3000 + [(i, [i, 1]) for i in range(1000, 4000)], "id long, vector array<long>")
     sizes = [r["count"] for r in topk.dealt(rows, 6).groupBy("block").count().collect()]
     assert len(sizes) == 6 and sum(sizes) == 6000 and max(sizes) < 1200
+
+
+def test_queries_stop_on_proof_before_the_last_segment():
+    rng = np.random.default_rng(11)
+    centres = rng.integers(-60, 60, (20, 64))
+    values = centres[rng.integers(0, 20, 8000)] + rng.integers(-4, 5, (8000, 64))
+    index = topk.Index(np.arange(8000), values)
+    for own in range(0, 8000, 400):
+        members, scores = index.search(values[own], own, 5)
+        exact = index.values @ values[own]
+        exact[own] = -(10**9)
+        best = np.lexsort((index.ids, -exact))[:5]
+        assert members.tolist() == best.tolist() and scores.tolist() == exact[best].tolist()
+    assert index.read < 0.5 * index.held
