@@ -17,12 +17,10 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
 
 from questlog.llm.blocks import blocks
-from questlog.llm.pretokens import Kept, cut, pre_tokens
+from questlog.llm.pretokens import cut, pre_tokens
 
 #: Bytes of text after which a block of rows is closed; one block is one task's memory.
 BLOCK_BYTES = 32 << 20
-#: Parts of a block's texts whose places are kept.
-BLOCK_PARTS = 1 << 20
 
 
 def read_ranks(rank_file: str) -> dict[bytes, int]:
@@ -53,21 +51,53 @@ def _words(texts: list[bytes], pattern) -> list[str]:
     return sorted(words)
 
 
-def _places(texts: list[bytes], words: list[str], pattern) -> tuple[np.ndarray, np.ndarray]:
-    """For each text the places of its pre-tokens in ``words``, end to end, and how many they are."""
-    index = {w: i for i, w in enumerate(words)}
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
 
-    def places_of(part: str) -> list[int]:
-        return [index[w] for w in pre_tokens(part, pattern.findall)]
+    def __missing__(self, key) -> int:
+        self[key] = found = len(self)
+        return found
 
-    kept = Kept(places_of, BLOCK_PARTS)
-    after = Kept(lambda part: places_of(" " + part), BLOCK_PARTS)
-    places = []
+
+def _places(texts: list[bytes], pattern) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pre-tokens in order; for each text the places of its pre-tokens among them, end to end, and how many they are."""
+    whole, after = _Numbers(), _Numbers()
+    sequences = []
     for text in texts:
+        # parts are even numbers, those given without their space odd ones
         parts, spaced = cut(text.decode())
-        found = chain(map(kept.__getitem__, parts), map(after.__getitem__, spaced))
-        places.append(np.fromiter(chain.from_iterable(found), dtype=np.uint32))
-    return np.concatenate(places), np.array([len(p) for p in places], dtype=np.int64)
+        own = np.empty(len(parts) + len(spaced), dtype=np.uint32)
+        own[: len(parts)] = np.fromiter(map(whole.__getitem__, parts), dtype=np.uint32, count=len(parts))
+        own[: len(parts)] *= 2
+        own[len(parts) :] = np.fromiter(map(after.__getitem__, spaced), dtype=np.uint32, count=len(spaced))
+        own[len(parts) :] *= 2
+        own[len(parts) :] += 1
+        sequences.append(own)
+    index = _Numbers()
+    split = []
+    for kind, lead in ((whole, ""), (after, " ")):
+        found = [pre_tokens(lead + part, pattern.findall) for part in kind]
+        kind.clear()
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        split.append((np.fromiter(map(index.__getitem__, chain.from_iterable(found)), dtype=np.uint32, count=int(sizes.sum())), sizes))
+    words = sorted(index)
+    place = np.empty(len(words), dtype=np.uint32)
+    place[np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))] = np.arange(len(words), dtype=np.uint32)
+    flat = place[np.concatenate([numbers for numbers, _ in split])]
+    sizes = np.concatenate([sizes for _, sizes in split])
+    starts = np.cumsum(sizes) - sizes
+    first_spaced = len(split[0][1])
+    places = []
+    for own in sequences:
+        part = (own >> 1) + (own & 1) * np.uint32(first_spaced)
+        each = sizes[part]
+        total = int(each.sum())
+        if total == len(part):
+            places.append(flat[starts[part]])
+        else:
+            shift = np.repeat(starts[part] - (np.cumsum(each) - each), each)
+            places.append(flat[shift + np.arange(total)])
+    return words, np.concatenate(places), np.array([len(p) for p in places], dtype=np.int64)
 
 
 def _press(numbers: np.ndarray) -> bytes:
@@ -123,8 +153,7 @@ def encode(
         """Each block's rows with the places of their pre-tokens, in order."""
         find = compiled()
         for key, ids, texts in blocks(batches, block_bytes):
-            words = _words(texts, find)
-            places, sizes = _places(texts, words, find)
+            words, places, sizes = _places(texts, find)
             # frequent pre-tokens get the small numbers, which press well; equally frequent ones stay in order
             order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable").astype(np.uint32)
             number = np.empty(len(words), dtype=np.uint32)
