@@ -90,20 +90,54 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Different runs of 1,024 and more symbols exist whose hashes modulo 2**64 are equal for every base;
+#: runs from here on are hashed modulo two primes as well.
+LONG_RUN = 512
+PRIMES = (2147483647, 2147483629)
+
+
+def _prime_powers(base: int, n: int, prime: int) -> np.ndarray:
+    """1, base, base**2, ... modulo a prime below 2**31."""
+    out = np.ones(n + 1, dtype=np.uint64)
+    done = 1
+    while done <= n:
+        part = out[done : 2 * done]
+        part[:] = out[: len(part)] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done *= 2
+    return out
+
+
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any run of ``symbols`` (uint64, already hashed)."""
+    """Polynomial hashes of any run of ``symbols`` (uint64, already hashed).
+
+    Modulo 2**64, and modulo two primes too if runs of up to ``longest``
+    symbols, ``LONG_RUN`` or more, are to be asked for.
+    """
 
-    def __init__(self, symbols: np.ndarray, base: int = 0x9E3779B97F4A7C15):
+    def __init__(self, symbols: np.ndarray, base: int = 0x9E3779B97F4A7C15, longest: int = 0):
         n = len(symbols)
+        self.longest = longest
         self.back = _powers(pow(base, -1, 1 << 64), n)
         self.sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(symbols * _powers(base, n)[:n], dtype=np.uint64)))
+        self.residues = []
+        for prime in PRIMES if longest >= LONG_RUN else ():
+            own = base % prime
+            steps = symbols % np.uint64(prime) * _prime_powers(own, n, prime)[:n] % np.uint64(prime)
+            sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(steps, dtype=np.uint64)))
+            self.residues.append((np.uint64(prime), sums, _prime_powers(pow(own, -1, prime), n, prime)))
 
     def runs(self, length: int) -> np.ndarray:
         """Hash of the run of ``length`` symbols at each start."""
+        if LONG_RUN <= length and self.longest < LONG_RUN:
+            raise ValueError("runs of this length need the hashes modulo primes")
         n = len(self.sums) - length
         if n <= 0:
             return np.zeros(0, dtype=np.uint64)
         found = (self.sums[length:] - self.sums[:n]) * self.back[:n]
+        if length >= LONG_RUN:
+            for prime, sums, back in self.residues:
+                found *= np.uint64(0x94D049BB133111EB)
+                found += (sums[length:] - sums[:n]) % prime * back[:n] % prime
         found ^= found >> np.uint64(29)
         found *= np.uint64(0xBF58476D1CE4E5B9)
         found ^= found >> np.uint64(32)

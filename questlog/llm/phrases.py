@@ -34,8 +34,8 @@ class Words:
         self.numbers = np.array(numbers, dtype=np.int64)
         distinct = list(index)
         hashes = [np.array([xxhash.xxh64_intdigest(w, seed) for w in distinct], dtype=np.uint64) for seed in (1, 2)]
-        self.first = Rolling(hashes[0][self.numbers])
-        self.second = Rolling(hashes[1][self.numbers], base=0xD6E8FEB86659FD93)
+        self.first = Rolling(hashes[0][self.numbers], longest=window)
+        self.second = Rolling(hashes[1][self.numbers], base=0xD6E8FEB86659FD93, longest=window)
         self.phrases = self.first.runs(self.phrase)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:

@@ -32,7 +32,7 @@ class Bytes:
         self.window, self.gram = window, max(1, round(window * 0.08))
         self.whole = b"".join(texts)
         self.sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        hashes = Rolling(BYTE_HASHES[0][np.frombuffer(self.whole, dtype=np.uint8)])
+        hashes = Rolling(BYTE_HASHES[0][np.frombuffer(self.whole, dtype=np.uint8)], longest=self.gram)
         self.grams = hashes.runs(self.gram)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,7 +58,9 @@ def _equal(*keys: np.ndarray) -> np.ndarray:
 
 def _window_hashes(whole: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
     letters = np.frombuffer(whole, dtype=np.uint8)
-    return Rolling(BYTE_HASHES[0][letters]).runs(window), Rolling(BYTE_HASHES[1][letters], base=0xD6E8FEB86659FD93).runs(window)
+    first = Rolling(BYTE_HASHES[0][letters], longest=window)
+    second = Rolling(BYTE_HASHES[1][letters], base=0xD6E8FEB86659FD93, longest=window)
+    return first.runs(window), second.runs(window)
 
 
 def repeated_starts(grams: np.ndarray, leads: np.ndarray, often: np.ndarray, passages: list[bytes], window: int) -> list[tuple[int, int, int]]:

@@ -62,3 +62,13 @@ def test_pairs_that_share_a_hash():
 
 def test_no_rows(spark, tmp_path):
     assert seen(spark, [], tmp_path, 35) == []
+
+
+def test_long_windows_tell_a_sequence_of_two_words_from_its_complement(spark, tmp_path):
+    signs = [i.bit_count() % 2 for i in range(1024)]
+    texts = [" ".join("ab"[s ^ flip] for s in signs) for flip in (0, 1)]
+    for n, (rows, gone) in enumerate([([(0, texts[0]), (1, texts[1])], 0), ([(0, texts[0]), (1, texts[0])], 1024)]):
+        path = str(tmp_path / str(n))
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+        found = remove_repeats(spark.read.parquet(path), window=1024).collect()
+        assert sorted((r.doc_id, r.n_removed) for r in found) == [(0, gone), (1, gone)]
