@@ -294,6 +294,6 @@ def keep_one(
     rooted = groups(prints, distance)
     best = prints.groupBy("fp").agg(F.min(F.struct(F.col("key.id").isNull(), "key.id", "key.one", "key.two")).alias("best"))
     best = rooted.join(materialise(best, "best"), "fp").groupBy("root").agg(F.min("best").alias("best"))
-    kept = materialise(best.select(F.col("best.one").alias("_one"), F.col("best.two").alias("_two")).distinct(), "kept")
-    marked = docs.withColumns({"_one": one, "_two": two}).join(kept, ["_one", "_two"], "left_semi")
-    return marked.dropDuplicates(["_one", "_two"]).select(columns)
+    kept = materialise(best.select("best.one", "best.two").distinct(), "kept")
+    marked = docs.select(one.alias("one"), two.alias("two"), F.struct(*columns).alias("row"))
+    return marked.join(kept, ["one", "two"], "left_semi").dropDuplicates(["one", "two"]).select("row.*")

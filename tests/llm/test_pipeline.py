@@ -84,3 +84,16 @@ def test_one_row_of_each_group_stays(spark):
     kept = [tuple(r) for r in simhash.keep_one(docs).collect()]
     assert sorted(r[0] or 0 for r in kept) == [0, 1] and all(r in rows for r in kept)
     assert simhash.keep_one(docs.where(F.col("doc_id").isNull())).count() == 2
+
+
+def test_columns_of_clashing_and_dotted_names_and_a_very_long_text(spark):
+    words = [f"w{i * 7919 % 100003}" for i in range(40000)]
+    rows = [(1, " ".join(words), 0, "x", "p"), (2, " ".join(words), 0, "y", "q"), (3, "some other text here", 0, "z", "r")]
+    names = ["doc_id", "text", "n_chars", "_one", "a.b", "row", "two"]
+    docs = corpus_pipeline.materialise(spark.createDataFrame([(*r, 7, 8) for r in rows], names), "names")
+    kept = corpus_pipeline.materialise(corpus_pipeline.drop_near_duplicates(spark, docs, ""), "names")
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r[0], r[3], r[4], r[5], r[6]) for r in kept.collect()) == [(1, "x", "p", 7, 8), (3, "z", "r", 7, 8)]
+    cut = corpus_pipeline.drop_repeated_strings(spark, docs, "")
+    assert cut.columns == names
+    assert sorted((r[0], r[1], *r[3:]) for r in cut.collect()) == [(1, "", "x", "p", 7, 8), (2, "", "y", "q", 7, 8), (3, rows[2][1], "z", "r", 7, 8)]
