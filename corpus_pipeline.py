@@ -40,7 +40,7 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A character that is cut through goes too. ``n_chars`` counts what is left;
     a null text becomes empty, and so does one that is all repeats.
     """
-    others = [c for c in docs.columns if c != "text"]
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     cut = substrings.remove_repeats(docs.select(F.struct(*others).alias("row"), "text"), REPEATED_BYTES, id_col="row", whole_characters=True)
 
     @F.pandas_udf("string")
@@ -48,7 +48,7 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         return kept.map(lambda raw: raw.decode(errors="ignore"))
 
     cut = cut.select("row.*", whole_characters("kept").alias("text")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(docs.columns)
+    return cut.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
