@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
@@ -14,15 +15,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
+from tokenizers.normalizers import Sequence
 
 from questlog.llm.blocks import released
-from questlog.llm.pretokens import KEPT_CHARS, KEPT_PARTS, STOPS
+from questlog.llm.pretokens import KEPT_CHARS, KEPT_PARTS
 from questlog.session import materialise
 
 #: Id after each document.
 END = 0
 #: Letters, signs and white space that the tokenizer's rules and Python's agree on; other texts go to it whole.
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u02ff]|<\\|")
+#: Signs that the tokenizer cuts from letters before them; any number of them go together.
+SIGNS = string.punctuation
 #: Characters of text whose new words are encoded together, and words of one call.
 LEARN_CHARS, CALL_WORDS = 1 << 20, 2000
 #: Numbers of equal groups of large lengths that are tried; the packing of fewest sequences is taken.
@@ -32,14 +36,25 @@ LARGE_PART = 4
 
 
 class Words(dict):
-    """The ids, as bytes, of words that the tokenizer was asked for; a bounded number is kept."""
+    """The ids, as bytes, of words that the tokenizer was asked for; a bounded number is kept.
+
+    The words are lower-cased, without white space and of the characters that
+    ``ODD`` leaves, which the tokenizer's normaliser would not change, so it is
+    taken out. The tokenizer is this object's own from then on.
+    """
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        tokenizer.normalizer = Sequence([])
         added = tokenizer.get_added_tokens_decoder()
         #: A special token, at which the tokenizer cuts a text before all else: what lies between two is encoded apart.
         self.mark = next(((n, t.content) for n, t in sorted(added.items()) if t.special), None)
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        #: Whether an id ends a pre-token, where the vocabulary shows it.
+        self.ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool) if suffix else None
+        if suffix:
+            self.ends[[n for token, n in tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
 
     def __missing__(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -49,15 +64,16 @@ class Words(dict):
         number, mark = self.mark
         for start in range(0, len(words), CALL_WORDS):
             own = words[start : start + CALL_WORDS]
-            found = self.tokenizer.encode(between + between.join(own), add_special_tokens=False)
+            # the form that does not follow places in the text, which nothing here asks for
+            found = self.tokenizer.encode_batch_fast([between + between.join(own)], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
             if between == mark:
                 at = np.nonzero(ids == number)[0]
                 first, last = at + 1, np.append(at[1:], len(ids))
             else:
-                first = np.nonzero(np.diff(np.array(found.word_ids), prepend=-1))[0]
-                last = np.append(first[1:], len(ids))
-            if len(first) != len(own):
+                last = np.nonzero(self.ends[ids])[0] + 1
+                first = np.append([0], last[:-1])
+            if len(last) != len(own) or last[-1] != len(ids):
                 raise ValueError("the tokenizer does not cut texts at spaces and special tokens")
             raw = ids.tobytes()
             for word, begin, end in zip(own, (4 * first).tolist(), (4 * last).tolist()):
@@ -69,15 +85,16 @@ class Words(dict):
             return
         if len(self) + 2 * len(words) > KEPT_PARTS:
             self.clear()
-        new = {w for w in words if w not in self and len(w) <= KEPT_CHARS and self.mark[1] not in w}
-        # letters and a sign after them are encoded apart by the vocabulary too
-        stopped = {w for w in new if w[-1] in STOPS and w[:-1].isalpha()}
-        apart = {part for w in stopped for part in (w[:-1], w[-1])}
-        missing = [w for w in (new - stopped) | apart if w not in self]
-        self._encode([w for w in missing if w.isalpha()], " ")
-        self._encode([w for w in missing if not w.isalpha()], self.mark[1])
-        for word in stopped:
-            self[word] = self[word[:-1]] + self[word[-1]]
+        new = {w for w in words.difference(self) if len(w) <= KEPT_CHARS and self.mark[1] not in w}
+        # letters and the signs after them are encoded apart by the vocabulary too
+        signed = {w: core for w in new if not w.isalpha() and (core := w.rstrip(SIGNS)).isalpha()}
+        apart = {part for w, core in signed.items() for part in (core, w[len(core) :])}
+        missing = new.difference(signed) | apart.difference(self)
+        letters = {w for w in missing if w.isalpha()} if self.ends is not None else set()
+        self._encode(list(letters), " ")
+        self._encode(list(missing - letters), self.mark[1])
+        for word, core in signed.items():
+            self[word] = self[core] + self[word[len(core) :]]
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
         def encode(text: str) -> bytes:
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-        kept, end = Words(tokenizer), np.array([END], dtype="<u4").tobytes()
+        kept, end = Words(Tokenizer.from_file(tokenizer_file)), np.array([END], dtype="<u4").tobytes()
 
         def texts(batch: pa.RecordBatch) -> Iterator[bytes]:
             """The ids of each text, few texts at a time, so that new words go to the tokenizer together."""
@@ -106,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
             size = 0
 
             def ready() -> Iterator[bytes]:
-                kept.learn({w for words in waiting if isinstance(words, list) for w in words})
+                kept.learn(set().union(*[words for words in waiting if isinstance(words, list)]))
                 for words in waiting:
                     yield encode(words) if isinstance(words, str) else b"".join(map(kept.__getitem__, words))
 
