@@ -11,10 +11,22 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark.sql import SparkSession
 from pyspark.sql.types import ArrayType, DataType, LongType, StructType
 
 #: Bits of an anchor's key that hold its place in the block.
 PLACE_BITS = 32
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Has this session hand rows to Python in batches of at most ``most`` bytes from here on.
+
+    Spark's own bounds are 10,000 rows and 64 MB: both sides of the pipe hold
+    such a batch, and keep its pages for later ones. A row is never cut.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
 def released(made=None):

@@ -25,16 +25,25 @@ from questlog.session import materialise
 END = 0
 #: Letters, signs and white space that the tokenizer's rules and Python's agree on; other texts go to it whole.
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u02ff]|<\\|")
+#: Those of them in ASCII.
+PLAIN_ASCII = bytes({9, 10, 13, *range(0x20, 0x7F)})
 #: Signs that the tokenizer cuts from letters before them; any number of them go together.
 SIGNS = string.punctuation
 #: Characters of text whose new words are encoded together, and words of one call.
-LEARN_CHARS, CALL_WORDS = 1 << 20, 2000
+LEARN_CHARS, CALL_WORDS = 1 << 20, 200
 #: Numbers of equal groups of large lengths that are tried; the packing of fewest sequences is taken.
 GROUPS = (32, 128, 512)
 #: Lengths above this part of a sequence are large: at most three fit together.
 LARGE_PART = 4
 
 
+def is_odd(text: str) -> bool:
+    """Whether a text holds what ``ODD`` finds; a text in ASCII is looked through at once."""
+    if text.isascii():
+        return "<|" in text or bool(text.encode().translate(None, PLAIN_ASCII))
+    return bool(ODD.search(text))
+
+
 class Words(dict):
     """The ids, as bytes, of words that the tokenizer was asked for; a bounded number is kept.
 
@@ -129,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
 
             for value in batch.column(1):
                 text = value.as_py() or ""
-                waiting.append(text if ODD.search(text) else text.lower().split())
+                waiting.append(text if is_odd(text) else text.lower().split())
                 size += len(text)
                 if size >= LEARN_CHARS:
                     yield from ready()
