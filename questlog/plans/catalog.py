@@ -20,11 +20,13 @@ from questlog.operators import (
     sessions,
     users,
 )
+from questlog.plans import medallion
 from questlog.plans.store import Store
 from questlog.session import scratch_dir
 from questlog.sources import landing_csv
 from questlog.sources.landing_csv import ASSIGNMENT_COLUMNS, EVENT_COLUMNS, drop_date
 from questlog.sources.snapshots import BatchTable
+from questlog.sources.warehouse import TABLES, Warehouse
 from questlog.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +85,51 @@ def _csv_union_by_name(s: Store) -> DataFrame:
     )
 
 
+def _land_assignments(s: Store, purpose: str) -> str:
+    """Folder with the experiment export as CSV."""
+    landing = scratch_dir(s.spark, purpose)
+    s.raw_assignments.select(*ASSIGNMENT_COLUMNS).write.csv(landing, header=True, escape='"')
+    return landing
+
+
+def _csv_single_export(s: Store) -> DataFrame:
+    """Land the experiment export, read it back as text and stamp it with file and load time."""
+    landing = _land_assignments(s, "export")
+    started = F.lit(s.spark.sql("SELECT current_timestamp()").first()[0])
+    landed = bronze.land(landing_csv.read_assignments(s.spark, landing))
+    return landed.select(
+        *ASSIGNMENT_COLUMNS,
+        F.contains("filename", F.lit(landing.rsplit("/", 1)[1])).alias("file_is_in_folder"),
+        (F.regexp_extract("filename", "([^/]+)$", 1) == F.col("_source_file")).alias("file_is_last_part"),
+        (F.col("_ingested_at") >= started).alias("stamped_by_load"),
+    )
+
+
+def _csv_quoted_fields(s: Store) -> DataFrame:
+    """Land raw rows whose device holds separators, quotes and a line break, and read them back."""
+    landing = scratch_dir(s.spark, "quoted")
+    device = F.concat(F.lit('a "b", '), "device_id", F.lit("\nc"))
+    s.raw_events.select(*EVENT_COLUMNS).withColumn("device_id", device).write.csv(landing, header=True, escape='"')
+    return landing_csv.read_event_drops(s.spark, landing, multiline=True).select(*EVENT_COLUMNS)
+
+
+def _warehouse_build(s: Store) -> DataFrame:
+    """Build all tables from landing files, commit and publish them, and count each by its SQL name."""
+    drops, root = scratch_dir(s.spark, "drops"), scratch_dir(s.spark, "warehouse")
+    landing_csv.land_by_drop_date(s.raw_events, drops)
+    assignments = _land_assignments(s, "export")
+    warehouse = Warehouse(s.spark, root)
+    medallion.build(
+        landing_csv.read_event_drops(s.spark, drops),
+        landing_csv.read_assignments(s.spark, assignments),
+        warehouse,
+    )
+    warehouse.commit()
+    warehouse.publish()
+    names = [f"{layer}.{name}" for layer, tables in TABLES.items() for name in tables]
+    return bronze.row_counts({name: s.spark.table(name) for name in names})
+
+
 class _StreamFolders:
     """Landing zone, tables and checkpoint of one stream, and the raw rows to land."""
 
@@ -136,6 +183,9 @@ QUERIES: dict[str, Query] = {
     ),
     "bronze_row_counts": _on_store(_bronze_counts),
     "csv_union_by_name": _on_store(_csv_union_by_name),
+    "csv_single_export": _on_store(_csv_single_export),
+    "csv_quoted_fields": _on_store(_csv_quoted_fields),
+    "warehouse_build": _on_store(_warehouse_build),
     # cleaned layer
     "events_clean": _on_store(lambda s: events.events_clean(s.raw_events)),
     "sessions": _on_store(lambda s: sessions.sessions(s.events_clean)),

@@ -462,3 +462,38 @@ GROUP BY userid, install_date""",
     "stream_dedup": _sql("SELECT * FROM clean", _CLEAN),
     "stream_sessions": _sql("SELECT * FROM sess", _SESSIONS),
 }
+
+_ASSIGNMENT_COLUMNS = "* EXCLUDE (filename, _source_file)"
+ORACLE_SQL["csv_single_export"] = _sql(
+    f"""
+SELECT {_ASSIGNMENT_COLUMNS}, true AS file_is_in_folder, true AS file_is_last_part, true AS stamped_by_load
+FROM assigned""",
+    _ASSIGNED,
+)
+ORACLE_SQL["csv_quoted_fields"] = _sql(
+    f"""
+SELECT {_EVENT_COLUMNS.replace("device_id", "'a \"b\", ' || device_id || chr(10) || 'c' AS device_id")}
+FROM raw""",
+    _TELEMETRY,
+)
+
+# The query that makes the rows of each table of a build.
+_MADE_BY = {
+    "bronze.raw_events": "raw_events",
+    "bronze.raw_experiment_assignments": "raw_experiment_assignments",
+    "silver.events_clean": "events_clean",
+    "silver.sessions": "sessions",
+    "silver.users_dim": "users_dim",
+    "gold.mart_retention_curve": "mart_retention_curve",
+    "gold.mart_retention_validation": "mart_retention_validation",
+    "gold.mart_monetization_summary": "mart_monetization_summary",
+    "gold.mart_ltv_curve": "mart_ltv_curve",
+    "gold.mart_engagement_segments": "mart_engagement_segments",
+    "gold.mart_engagement_segment_summary": "mart_engagement_segment_summary",
+    "gold.mart_ab_test_readout": "mart_ab_test_readout",
+    "gold.data_quality_checks": "dq_checks",
+}
+ORACLE_SQL["warehouse_build"] = "\nUNION ALL\n".join(
+    f"SELECT '{table}' AS table_name, count(*) AS row_count FROM ({ORACLE_SQL[key]})"
+    for table, key in _MADE_BY.items()
+)
