@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 # A to Z and their lower case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rules up to this number are sent to every task (some 200 bytes each); more are joined by shuffle.
+#: Rules, and their tokens, up to this number are sent to every task (some 200 bytes each); more are joined by shuffle,
+#: where adaptive execution splits a token of very many URLs.
 BROADCAST_RULES = 20_000
 
 
@@ -80,7 +81,11 @@ def url_verdicts(
 
     wanted = sorted({t for r in rules for t in r.tokens})
     terms = spark.createDataFrame([(t,) for t in wanted], "token string")
-    counts = read.select(F.explode(words).alias("token")).join(terms, "token", "left_semi").groupBy("token").count()
+    found = read.select(F.explode(words).alias("token"))
+    if len(wanted) <= BROADCAST_RULES:
+        counts = found.join(F.broadcast(terms), "token", "left_semi").groupBy("token").count()
+    else:  # counted within tasks first, so a frequent token is a row a task
+        counts = found.groupBy("token").count().join(terms, "token", "left_semi")
     seen = {r["token"]: r["count"] for r in counts.collect()}  # bounded by the rules' tokens
 
     def key(rule: Rule) -> str:

@@ -1,5 +1,6 @@
 import re
 
+from questlog.llm import url_filters
 from questlog.llm.queries import BLOCKED_WORDS, SITE_RULES
 from questlog.llm.url_filters import LOWER, UPPER, site_rule, url_verdicts, word_rule
 
@@ -40,5 +41,12 @@ def test_rules_without_tokens_and_longest_word(spark):
     assert {r[0]: r["verdict"] for r in url_verdicts(pages, rules, "none").collect()} == {1: "block", 2: "block", 3: "none"}
 
 
+def test_many_rules_are_joined_by_shuffle(spark, monkeypatch):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    by_broadcast = sorted(url_verdicts(pages, RULES, "allow").collect(), key=str)
+    monkeypatch.setattr(url_filters, "BROADCAST_RULES", 0)
+    assert sorted(url_verdicts(pages, RULES, "allow").collect(), key=str) == by_broadcast
+
+
 def test_no_rows(spark):
     assert url_verdicts(spark.createDataFrame([], "page_id long, url string"), RULES, "allow").collect() == []
