@@ -8,6 +8,7 @@ import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,10 +120,11 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
         from pyspark import TaskContext
 
         part, numbers = TaskContext.get().partitionId(), defaultdict(int)
-        tokenizer = Tokenizer.from_file(tokenizer_file)
+        # most tasks meet no text that needs the whole tokenizer
+        whole = cache(lambda: Tokenizer.from_file(tokenizer_file))
 
         def encode(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return np.array(whole().encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
         kept, end = Words(Tokenizer.from_file(tokenizer_file)), np.array([END], dtype="<u4").tobytes()
 
