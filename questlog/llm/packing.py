@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import re
 import string
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -25,26 +25,17 @@ from questlog.session import materialise
 #: Id after each document.
 END = 0
 #: Letters, signs and white space that the tokenizer's rules and Python's agree on; other texts go to it whole.
-ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u02ff]|<\\|")
-#: Those of them in ASCII.
-PLAIN_ASCII = bytes({9, 10, 13, *range(0x20, 0x7F)})
+ODD = "[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u02ff]|<\\|"
 #: Signs that the tokenizer cuts from letters before them; any number of them go together.
 SIGNS = string.punctuation
-#: Characters of text whose new words are encoded together, and words of one call.
-LEARN_CHARS, CALL_WORDS = 1 << 20, 200
+#: Bytes of text whose new words are encoded together, and words of one call.
+LEARN_BYTES, CALL_WORDS = 2 << 20, 200
 #: Numbers of equal groups of large lengths that are tried; the packing of fewest sequences is taken.
 GROUPS = (32, 128, 512)
 #: Lengths above this part of a sequence are large: at most three fit together.
 LARGE_PART = 4
 
 
-def is_odd(text: str) -> bool:
-    """Whether a text holds what ``ODD`` finds; a text in ASCII is looked through at once."""
-    if text.isascii():
-        return "<|" in text or bool(text.encode().translate(None, PLAIN_ASCII))
-    return bool(ODD.search(text))
-
-
 class Words(dict):
     """The ids, as bytes, of words that the tokenizer was asked for; a bounded number is kept.
 
@@ -67,6 +58,10 @@ class Words(dict):
             self.ends[[n for token, n in tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
 
     def __missing__(self, word: str) -> bytes:
+        core = word.rstrip(SIGNS)
+        if core != word and core.isalpha():
+            # letters and the signs after them are encoded apart by the vocabulary too
+            return self[core] + self[word[len(core) :]]
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _encode(self, words: list[str], between: str) -> None:
@@ -89,22 +84,37 @@ class Words(dict):
             for word, begin, end in zip(own, (4 * first).tolist(), (4 * last).tolist()):
                 self[word] = raw[begin:end]
 
-    def learn(self, words: set[str]) -> None:
-        """Keep the ids of these words, but for very long ones and those that hold the mark."""
+    def learn(self, words: Iterable[str]) -> None:
+        """Keep the ids of these words, but for very long ones and those that hold the mark; signs after letters apart."""
         if not self.mark:
             return
-        if len(self) + 2 * len(words) > KEPT_PARTS:
+        signed = {w: core for w in words if not w.isalpha() and (core := w.rstrip(SIGNS)).isalpha()}
+        parts = {*signed.values(), *(w[len(core) :] for w, core in signed.items()), *(w for w in words if w not in signed)}
+        new = parts.difference(self)
+        if len(self) + len(new) > KEPT_PARTS:
             self.clear()
-        new = {w for w in words.difference(self) if len(w) <= KEPT_CHARS and self.mark[1] not in w}
-        # letters and the signs after them are encoded apart by the vocabulary too
-        signed = {w: core for w in new if not w.isalpha() and (core := w.rstrip(SIGNS)).isalpha()}
-        apart = {part for w, core in signed.items() for part in (core, w[len(core) :])}
-        missing = new.difference(signed) | apart.difference(self)
-        letters = {w for w in missing if w.isalpha()} if self.ends is not None else set()
+            new = parts
+        new = {w for w in new if len(w) <= KEPT_CHARS and self.mark[1] not in w}
+        letters = {w for w in new if w.isalpha()} if self.ends is not None else set()
         self._encode(list(letters), " ")
-        self._encode(list(missing - letters), self.mark[1])
-        for word, core in signed.items():
-            self[word] = self[core] + self[word[len(core) :]]
+        self._encode(list(new - letters), self.mark[1])
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, of words as above but in any case; each different word is looked up once."""
+        words = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(distinct)
+        found = [self[w] for w in distinct]
+        table = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        which = coded.indices.to_numpy()
+        # where each word's ids begin in the table and in the row of all ids
+        counts = sizes[which]
+        ends = np.append(0, np.cumsum(counts))
+        ids = table[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        bounds = ends[words.offsets.to_numpy()].tolist()
+        return (ids[begin:end] for begin, end in zip(bounds, bounds[1:]))
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,34 +133,26 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int, id_col: str = "d
         # most tasks meet no text that needs the whole tokenizer
         whole = cache(lambda: Tokenizer.from_file(tokenizer_file))
 
-        def encode(text: str) -> bytes:
-            return np.array(whole().encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
         kept, end = Words(Tokenizer.from_file(tokenizer_file)), np.array([END], dtype="<u4").tobytes()
 
-        def texts(batch: pa.RecordBatch) -> Iterator[bytes]:
+        def texts(column: pa.Array) -> Iterator[bytes]:
             """The ids of each text, few texts at a time, so that new words go to the tokenizer together."""
-            waiting: list[str | list[str]] = []
-            size = 0
-
-            def ready() -> Iterator[bytes]:
-                kept.learn(set().union(*[words for words in waiting if isinstance(words, list)]))
-                for words in waiting:
-                    yield encode(words) if isinstance(words, str) else b"".join(map(kept.__getitem__, words))
-
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                waiting.append(text if is_odd(text) else text.lower().split())
-                size += len(text)
-                if size >= LEARN_CHARS:
-                    yield from ready()
-                    waiting, size = [], 0
-            yield from ready()
+            column = column.fill_null("")
+            share = np.cumsum(pc.binary_length(column).to_numpy(), dtype=np.int64) // LEARN_BYTES
+            cuts = [0, *(np.nonzero(np.diff(share))[0] + 1).tolist(), len(column)]
+            for first, last in zip(cuts, cuts[1:]):
+                own = column.slice(first, last - first)
+                odd = pc.match_substring_regex(own, ODD)
+                plain = kept.encode(pc.if_else(odd, "", own))
+                for strange, text, ids in zip(odd.to_pylist(), own, plain):
+                    if strange:
+                        ids = np.array(whole().encode(text.as_py(), add_special_tokens=False).ids, dtype="<u4")
+                    yield ids.tobytes()
 
         for batch in batches:
             rows: list[list] = [[] for _ in range(6)]
             origin = []
-            for at, ids in enumerate(texts(batch)):
+            for at, ids in enumerate(texts(batch.column(1))):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[start : start + 4 * capacity]

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -77,3 +78,21 @@ def test_words_learned_together_have_the_ids_of_each_alone():
     for word in sorted(words):
         assert kept[word] == np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes(), word
     assert "x" * 70 not in kept and "a<|startoftext|>b" not in kept and "don't" in kept
+
+
+def test_signs_after_letters_take_no_place_of_their_own():
+    tokenizer = Tokenizer.from_file(FILE)
+    kept = Words(Tokenizer.from_file(FILE))
+    kept.learn(["word", "word,", "word!!", "other,", "x" * 60 + "." * 9])
+    assert set(kept) == {"word", "other", ",", "!!", "x" * 60, "." * 9}
+    for word in ("word,", "word!!", "x" * 60 + "." * 9, "other"):
+        assert kept[word] == np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_texts_encoded_together_have_the_ids_of_each_alone():
+    tokenizer = Tokenizer.from_file(FILE)
+    plain = [chr(c) for c in [*range(0x20, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x300)]]
+    texts = ["", " \t\r\n ", "Word word WORD, word.\nÉté ÉTÉ", "".join(plain), " ".join(plain), *(f"a{c}b {c}{c} A{c}" for c in plain)] * 3
+    for some in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(texts).slice(3, 5), pa.array([], pa.string())):
+        found = Words(Tokenizer.from_file(FILE)).encode(some)
+        assert [ids.tolist() for ids in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some.to_pylist()]
