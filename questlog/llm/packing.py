@@ -6,7 +6,7 @@ import string
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterator
 from functools import cache
 
 import numpy as np
@@ -84,7 +84,7 @@ class Words(dict):
             for word, begin, end in zip(own, (4 * first).tolist(), (4 * last).tolist()):
                 self[word] = raw[begin:end]
 
-    def learn(self, words: Iterable[str]) -> None:
+    def learn(self, words: Collection[str]) -> None:
         """Keep the ids of these words, but for very long ones and those that hold the mark; signs after letters apart."""
         if not self.mark:
             return
